@@ -111,7 +111,7 @@ def _kept_uids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_l2_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scaled = F.transform("embedding", lambda x: x * (F.col("cid") + 1))
+    scaled = F.transform("embedding", lambda x: x.cast("double") * (F.col("cid") + 1))
     unit = _vectors(spark, sf_dir).select("uid", F.posexplode(l2_normalize(scaled)).alias("pos", "value"))
     return unit.select("uid", "pos", _digits("value").alias("value"))
 

@@ -93,7 +93,7 @@ TOKENS = r"tokens AS (SELECT doc_id, list_filter(string_split_regex(text, '\s+')
 
 def chunk_rows(size: int, head: str = "", tail: str = "") -> str:
     """Chunks of ``size`` words, framed by text before and after."""
-    extra = len((head + tail).split())
+    extra = len(f"{head} {tail}".split())
     return f"""
 WITH {TOKENS},
 cut AS (SELECT doc_id, words, unnest(range(greatest(1, ceil(len(words) / {size}.0)::BIGINT))) AS chunk FROM tokens),
@@ -123,7 +123,7 @@ WITH {NEAREST_SCORES}, lim AS (SELECT quantile_cont(sim, {KEEP}) AS t FROM near_
 SELECT d.doc_id, d.lang, d.source, d.n_chars FROM documents d JOIN near_sims s ON s.uid = d.doc_id CROSS JOIN lim WHERE s.sim < lim.t
 """,
         "l2_normalize": """
-WITH scaled AS (SELECT vec_id AS uid, list_transform(embedding, lambda x: x * (label + 1))::DOUBLE[] AS v FROM embeddings),
+WITH scaled AS (SELECT vec_id AS uid, list_transform(embedding, lambda x: x::DOUBLE * (label + 1)) AS v FROM embeddings),
 normed AS (SELECT uid, v, sqrt(list_dot_product(v, v)) AS n FROM scaled),
 long AS (SELECT uid, n, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS pos FROM normed)
 SELECT uid, pos::INT AS pos, round(x / greatest(n, 1e-12), 6) AS value FROM long
