@@ -6,8 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from semprune.functions.vectors import dot, squared_distance
+from semprune.operators.assign import BROADCAST_LIMIT, centroid_shape
 from semprune.operators.positions import position_by_key, position_by_order
 
+# Join keys a cluster is spread over when its centroid cannot be broadcast.
+SALTS = 64
+
 
 def order_members(assigned: DataFrame) -> DataFrame:
     """Order inside a cluster is ascending ``idx``: (cid, idx, uid) -> (cid, ord, idx, uid)."""
@@ -64,13 +68,25 @@ def centroid_distance(metric: str) -> Column:
 
 
 def rank_in_cluster(
-    vectors: DataFrame, centroids: DataFrame, metric: str = "cosine", keep_hard: bool = True
+    vectors: DataFrame,
+    centroids: DataFrame,
+    metric: str = "cosine",
+    keep_hard: bool = True,
+    broadcast_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Rank (from 1) of every vector in its cluster by distance to the centroid.
 
     ``vectors(cid, idx, uid, embedding)``; ``keep_hard`` ranks the farthest first.
     """
-    near = vectors.join(centroids.select("cid", "centroid"), "cid")
+    k, dim = centroid_shape(centroids)
+    table = centroids.select("cid", "centroid")
+    if 8 * k * dim <= broadcast_limit:
+        near = vectors.join(F.broadcast(table), "cid")
+    else:
+        # A large cluster is spread over SALTS join keys, so its vectors never meet in one task.
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+        salted = vectors.withColumn("salt", F.pmod(F.xxhash64("idx"), F.lit(SALTS)).cast("int"))
+        near = salted.join(table.select("*", salts), ["cid", "salt"])
     measured = near.select("cid", "idx", "uid", centroid_distance(metric).alias("distance"))
     first = F.col("distance").desc() if keep_hard else F.col("distance").asc()
     ranked = position_by_order(measured, ["cid"], [first, F.col("idx").asc()], "position")

@@ -7,6 +7,13 @@ from pyspark.sql import functions as F
 
 from semprune.functions.names import keep_name
 from semprune.operators.quantiles import threshold_at
+from semprune.session import materialize
+
+# Largest kept-set bitmap (bytes) sent to every executor, and the size of one of its pages.
+BITMAP_LIMIT = 1 << 29
+BITMAP_PAGE = 4096
+# Join slots over which rows without a uid are spread.
+NULL_SLOTS = 64
 
 
 def uid_column(df: DataFrame, uid_key: str | None = None) -> Column:
@@ -52,6 +59,13 @@ def status_column(uid: Column, keep: Column) -> Column:
     )
 
 
+def _lookup(narrow: DataFrame, keeps: DataFrame) -> DataFrame:
+    """Left join by uid in which rows without a uid do not all meet in one task."""
+    slot = F.when(F.col("uid").isNull(), F.pmod(F.col("length"), F.lit(NULL_SLOTS))).otherwise(F.lit(0))
+    left = narrow.withColumn("_slot", slot.cast("int"))
+    return left.join(keeps.withColumn("_slot", F.lit(0)), ["uid", "_slot"], "left").drop("_slot")
+
+
 def judge(
     documents: DataFrame,
     keeps: DataFrame,
@@ -67,7 +81,7 @@ def judge(
     narrow = documents.select(
         uid_column(documents, uid_key).alias("uid"), source.alias("source"), F.length(text_key).alias("length")
     )
-    joined = narrow.join(keeps, "uid", "left")
+    joined = _lookup(narrow, keeps)
     return joined.select("uid", "source", "length", status_column(F.col("uid"), F.col("keep")).alias("status"))
 
 
@@ -93,29 +107,60 @@ def source_totals(judged: DataFrame) -> DataFrame:
     return kept.groupBy("source").agg(F.count("*").alias("n_samples"), F.avg("length").alias("mean_length"))
 
 
-def prune_documents(documents: DataFrame, keeps: DataFrame, uid_key: str | None = None) -> DataFrame:
-    """The kept documents with all their columns."""
-    kept = keeps.where("keep").select(F.col("uid").alias("_uid"))
-    return documents.join(kept, uid_column(documents, uid_key) == F.col("_uid"), "left_semi")
+def _in_bitmap(uids: DataFrame, documents: DataFrame, uid: Column) -> tuple[DataFrame, Column] | None:
+    """``documents`` with a broadcast bitmap of an integer uid set, and the membership test.
+
+    None when uids are no integers or are so sparse that the bitmap exceeds its limit.
+    """
+    if uids.schema["uid"].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        return None
+    position = F.bitmap_bit_position("uid")
+    pages = uids.groupBy(F.bitmap_bucket_number("uid").alias("_page")).agg(F.bitmap_construct_agg(position).alias("_bits"))
+    pages = materialize(pages, "kept-bitmap")
+    if pages.count() * BITMAP_PAGE > BITMAP_LIMIT:
+        return None
+    marked = documents.withColumn("_page", F.bitmap_bucket_number(uid)).join(F.broadcast(pages), "_page", "left")
+    bit = F.bitmap_bit_position(uid)
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    inside = F.coalesce(F.getbit(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1, F.lit(False))
+    return marked, inside
 
 
 def prune_to_set(documents: DataFrame, kept_uids: DataFrame, uid_key: str | None = None) -> DataFrame:
-    """The documents whose uid is in a kept set."""
+    """The documents whose uid is in a kept set, with all their columns.
+
+    Texts are far larger than the set, so the set goes to the texts where it can: integer
+    uids as a bitmap of one bit each, as long as that stays within ``BITMAP_LIMIT``. Other
+    sets are joined.
+    """
+    uid = uid_column(documents, uid_key)
+    found = _in_bitmap(kept_uids, documents, uid)
+    if found is not None:
+        return found[0].where(found[1]).select(*documents.columns)
     kept = kept_uids.select(F.col("uid").alias("_uid"))
-    return documents.join(kept, uid_column(documents, uid_key) == F.col("_uid"), "left_semi")
+    return documents.join(kept, uid == F.col("_uid"), "left_semi")
+
+
+def prune_documents(documents: DataFrame, keeps: DataFrame, uid_key: str | None = None) -> DataFrame:
+    """The kept documents with all their columns."""
+    return prune_to_set(documents, keeps.where("keep").select("uid"), uid_key)
 
 
 def outside_set(documents: DataFrame, kept_uids: DataFrame, uid_key: str | None = None) -> DataFrame:
     """The documents whose uid is not in a kept set (removed, in set form)."""
-    kept = kept_uids.select(F.col("uid").alias("_uid"))
     uid = uid_column(documents, uid_key)
-    return documents.where(uid.isNotNull()).join(kept, uid == F.col("_uid"), "left_anti")
+    named = documents.where(uid.isNotNull())
+    found = _in_bitmap(kept_uids, named, uid)
+    if found is not None:
+        return found[0].where(~found[1]).select(*documents.columns)
+    kept = kept_uids.select(F.col("uid").alias("_uid"))
+    return named.join(kept, uid == F.col("_uid"), "left_anti")
 
 
 def set_totals(documents: DataFrame, kept_uids: DataFrame, uid_key: str | None = None, text_key: str = "text") -> DataFrame:
     """Totals for the set form: a document outside the set is both not found and removed."""
     narrow = documents.select(uid_column(documents, uid_key).alias("uid"), F.length(text_key).alias("length"))
-    marked = narrow.join(kept_uids.select("uid").distinct().withColumn("keep", F.lit(True)), "uid", "left")
+    marked = _lookup(narrow, kept_uids.select("uid").distinct().withColumn("keep", F.lit(True)))
     kept, outside = F.col("keep").isNotNull(), F.col("uid").isNotNull() & F.col("keep").isNull()
     return marked.agg(
         F.count_if(kept).alias("n_samples"),

@@ -19,9 +19,12 @@ from semprune.functions.vectors import fingerprint, squared_norm
 from semprune.operators.positions import position_by_key
 from semprune.session import materialize
 
-TILE_ROWS = 4096
-# Rows of a tile multiplied at once.
-STRIP_ROWS = 1024
+# A tile holds as many float32 vectors as fit in this many bytes. A row is sent to as many
+# tasks as its cluster has tiles, so larger tiles trade task memory for shuffle volume.
+TILE_BYTES = 64 << 20
+# Rows of the two tiles multiplied at once, in double precision.
+QUERY_STRIP = 1024
+EARLIER_STRIP = 4096
 # Copies of one vector from which on the group counts as hot, and the parts it is split into.
 HOT_COPIES = 100_000
 HOT_PARTS = 256
@@ -33,42 +36,42 @@ def _tile_scores(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     place = table.column("pos").to_numpy()
     order = np.argsort(place, kind="stable")
     place = place[order]
-    vectors = list_matrix(table.column("embedding"))[order]
+    vectors = list_matrix(table.column("embedding"), dtype=np.float32)[order]
     is_query = table.column("tile").to_numpy()[order] == second
     queries, query_place = vectors[is_query], place[is_query]
-    others = vectors if first == second else vectors[~is_query]
+    earlier = vectors if first == second else vectors[~is_query]
     best = np.zeros(len(queries))
-    for start in range(0, len(queries), STRIP_ROWS):
-        strip = queries[start : start + STRIP_ROWS]
-        # Inside a tile only the rows up to the end of the strip can be earlier.
-        earlier = others[: start + len(strip)] if first == second else others
-        sims = strip @ earlier.T
-        if first == second:
-            later = np.arange(len(earlier))[None, :] >= (start + np.arange(len(strip)))[:, None]
-            sims[later] = 0.0
-        if sims.shape[1]:
-            best[start : start + len(strip)] = np.maximum(sims.max(axis=1), 0.0)
+    for q in range(0, len(queries), QUERY_STRIP):
+        strip = queries[q : q + QUERY_STRIP].astype(np.float64)
+        top = best[q : q + QUERY_STRIP]
+        # Inside one tile a row is compared with the rows above it only.
+        stop = q + len(strip) if first == second else len(earlier)
+        for e in range(0, stop, EARLIER_STRIP):
+            sims = strip @ earlier[e : min(e + EARLIER_STRIP, stop)].T.astype(np.float64)
+            if first == second and e + sims.shape[1] > q:
+                sims[np.arange(e, e + sims.shape[1])[None, :] >= np.arange(q, q + len(strip))[:, None]] = 0.0
+            np.maximum(top, sims.max(axis=1), out=top)
     return pa.table(
         {"cid": pa.array(np.full(len(best), cid), pa.int32()), "pos": pa.array(query_place, pa.int64()), "sim": pa.array(best)}
     )
 
 
-def score_distinct(placed: DataFrame, vectors: DataFrame, tile_rows: int = TILE_ROWS) -> DataFrame:
+def score_distinct(placed: DataFrame, vectors: DataFrame, tile_rows: int | None = None) -> DataFrame:
     """(cid, idx, pos, n_distinct) with vectors by ``idx`` -> (cid, pos, sim).
 
-    A row of a cluster with t tiles is sent to the t pairs its tile is part of.
+    A row of a cluster with t tiles is sent to the t pairs its tile is part of, and a task
+    holds two tiles whatever the size of the cluster.
     """
-    tiled = placed.select(
+    rows = placed.select("cid", "idx", "pos", "n_distinct").join(vectors.select("idx", "embedding"), "idx")
+    height = F.lit(tile_rows) if tile_rows else F.greatest(F.lit(1), F.floor(F.lit(TILE_BYTES) / (4 * F.size("embedding"))))
+    tiled = rows.select(
         "cid",
-        "idx",
         "pos",
-        F.floor(F.col("pos") / tile_rows).cast("int").alias("tile"),
-        F.floor((F.col("n_distinct") - 1) / tile_rows).cast("int").alias("last_tile"),
+        "embedding",
+        F.floor(F.col("pos") / height).cast("int").alias("tile"),
+        F.explode(F.sequence(F.lit(0), F.floor((F.col("n_distinct") - 1) / height).cast("int"))).alias("partner"),
     )
-    rows = tiled.join(vectors.select("idx", "embedding"), "idx")
-    partner = F.explode(F.sequence(F.lit(0), F.col("last_tile"))).alias("partner")
-    sent = rows.select("cid", "pos", "tile", "embedding", partner)
-    pairs = sent.select(
+    pairs = tiled.select(
         "cid",
         F.least("tile", "partner").alias("first"),
         F.greatest("tile", "partner").alias("second"),
@@ -83,7 +86,7 @@ def score_distinct(placed: DataFrame, vectors: DataFrame, tile_rows: int = TILE_
 def max_similarity(
     members: DataFrame,
     vectors: DataFrame,
-    tile_rows: int = TILE_ROWS,
+    tile_rows: int | None = None,
     hot_copies: int = HOT_COPIES,
 ) -> DataFrame:
     """Score of every member: ``max(0, highest inner product with an earlier member)``.
@@ -98,8 +101,9 @@ def max_similarity(
     narrow = materialize(members.select("cid", "ord", "idx", "uid").join(traits, "idx"), "members")
     vector_key = ["cid", "fp1", "fp2"]
 
-    groups = narrow.groupBy(*vector_key).agg(F.min("ord").alias("ord"), F.count("*").alias("copies"))
-    firsts = groups.join(narrow.select("cid", "ord", "idx"), ["cid", "ord"])
+    firsts = narrow.groupBy(*vector_key).agg(
+        F.min("ord").alias("ord"), F.min_by("idx", "ord").alias("idx"), F.count("*").alias("copies")
+    )
     placed = position_by_key(firsts, ["cid"], "ord", "pos", size_out="n_distinct")
     placed = materialize(placed, "distinct")
     scored = placed.join(score_distinct(placed, vectors, tile_rows), ["cid", "pos"])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from semprune.operators import checks, chunk, clusters, embed, ids, kmeans, merge, prune, quantiles, shards
 from semprune.operators.assign import assign_nearest
 from semprune.operators.positions import position_by_key
-from semprune.operators.similarity import TILE_ROWS, max_similarity
+from semprune.operators.similarity import max_similarity
 from semprune.session import materialize
 from semprune.sources import matrix, sinks, tables
 
@@ -150,7 +150,7 @@ def similarity_job(
     output: str,
     points: list[float] | None = None,
     subsample: int = -1,
-    tile_rows: int = TILE_ROWS,
+    tile_rows: int | None = None,
 ) -> None:
     """Members and vectors -> ``output/similarity`` (cid, ord, idx, uid, sim) and ``output/quantiles``."""
     listed = clusters.first_clusters(spark.read.parquet(members), subsample)
