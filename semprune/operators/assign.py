@@ -133,7 +133,10 @@ def assign_nearest(
     ``broadcast_limit`` bytes, which leaves the vectors where they are; beyond it both sides
     are cut into blocks and joined.
     """
-    keep = keep or [c for c in vectors.columns if c != "embedding"]
+    results = ("cid", "centroid_sim")
+    keep = keep or [c for c in vectors.columns if c not in ("embedding", *results)]
+    if any(c in results for c in keep):
+        raise ValueError(f"columns {results} are results and cannot be kept")
     k, dim = centroid_shape(centroids)
     if 8 * k * dim <= broadcast_limit:
         return _assign_broadcast(vectors, centroids, keep, dim)

@@ -70,6 +70,12 @@ def check_cluster_counts(members: DataFrame) -> DataFrame:
     )
 
 
+def check_unique(rows: DataFrame, key: str) -> DataFrame:
+    """No value of ``key`` is on several rows."""
+    repeated = rows.groupBy(key).agg(F.count("*").alias("n")).agg(F.count_if(F.col("n") > 1).alias("n_repeated"))
+    return repeated.withColumn("ok", F.col("n_repeated") == 0)
+
+
 def check_bijection(id_map: DataFrame, members: DataFrame) -> DataFrame:
     """idx -> uid and uid -> idx are inverse, and the members agree with both."""
 

@@ -135,8 +135,7 @@ def regroup_job(spark: SparkSession, members: str, vectors: str, output: str, n_
     stored = tables.read_shards(spark, vectors)
     listed = spark.read.parquet(members)
     joined = materialize(shards.select_members(listed.select("cid", "ord", "uid"), stored.select("shard", "uid")), "joined")
-    checks.require(checks.check_bijection(stored.select(F.col("uid").alias("idx"), F.col("shard").alias("uid")),
-                                          joined.select(F.col("uid").alias("idx"), F.col("shard").alias("uid"))), "uids")
+    checks.require(checks.check_unique(stored, "uid"), "uids in several shards")
     ranked = position_by_key(joined, ["shard", "cid"], "ord", "rank")
     placed = shards.subset_positions(ranked, n_clusters, n_subsets)
     rows = placed.select("subset", "shard", "cid", "pos", "subset_idx", "uid").join(stored.select("uid", "embedding"), "uid")
