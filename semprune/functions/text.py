@@ -38,11 +38,6 @@ def character_chunks(text: Column, width: int) -> Column:
     return F.when(F.length(text) == 0, F.array(F.lit(""))).otherwise(pieces)
 
 
-def hash_bucket(token: Column, buckets: int) -> Column:
-    """Bucket of a token from the first 32 bits of its MD5."""
-    return (F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("long") % buckets).cast("int")
-
-
 def sample_hash(key: Column, seed: int) -> Column:
     """60-bit non-negative hash of a row key that orders rows at random for one seed."""
     text = F.concat_ws(":", key.cast("string"), F.lit(str(seed)))

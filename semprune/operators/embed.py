@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -13,12 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from semprune.functions.arrow import matrix_list
-from semprune.functions.text import hash_bucket
 from semprune.functions.vectors import NORM_FLOOR, is_zero_vector, l2_normalize
 from semprune.operators.chunk import WHITESPACE, Tokenizer, chunk_documents
 
 # Chunks given to the model at once.
 MODEL_BATCH = 640
+# Tokens whose bucket a task remembers before it starts anew.
+KNOWN_TOKENS = 1 << 20
 
 
 def masked_mean(states: np.ndarray, mask: np.ndarray) -> np.ndarray:
@@ -48,18 +50,32 @@ class Embedder:
 
 
 class HashedWords(Embedder):
-    """Each token is a unit vector along its hash bucket; a chunk is the mean of its tokens."""
+    """Each token is a unit vector along its hash bucket; a chunk is the mean of its tokens.
+
+    The bucket of a token comes from the first 32 bits of its MD5. Only the distinct tokens of
+    a batch are looked up, and a task remembers the buckets it has computed.
+    """
 
     def __init__(self, dim: int = 768):
         self.dim = dim
 
-    def features(self, tokens: Column) -> Column:
-        return F.transform(tokens, lambda token: hash_bucket(token, self.dim))
+    def load(self) -> None:
+        self._known: dict[bytes, int] = {}
+
+    def _buckets(self, words: list[bytes]) -> np.ndarray:
+        known = self._known
+        if len(known) > KNOWN_TOKENS:
+            known.clear()
+        for word in words:
+            if word not in known:
+                known[word] = int.from_bytes(md5(word).digest()[:4], "big") % self.dim
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
     def embed(self, features: pa.ListArray) -> np.ndarray:
         lengths = np.diff(features.offsets.to_numpy())
-        buckets = features.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        cells = np.repeat(np.arange(len(lengths)), lengths) * self.dim + buckets
+        words = features.flatten().dictionary_encode()
+        buckets = self._buckets(words.dictionary.cast(pa.binary()).to_pylist())
+        cells = np.repeat(np.arange(len(lengths)), lengths) * self.dim + buckets[words.indices.to_numpy()]
         counts = np.bincount(cells, minlength=len(lengths) * self.dim).reshape(len(lengths), self.dim)
         return counts / np.maximum(lengths, 1)[:, None]
 

@@ -123,17 +123,24 @@ def _refill_empty(means: DataFrame, centroids: DataFrame) -> DataFrame:
     )
 
 
-def lloyd_step(sample: DataFrame, centroids: DataFrame, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """One iteration: assign the sample to the centroids and move them to the member means."""
-    k, dim = centroid_shape(centroids)
+def _moved(sample: DataFrame, centroids: DataFrame, k: int, dim: int, broadcast_limit: int) -> DataFrame:
+    """New centroids, written; clusters are refilled only when some are empty."""
     if 8 * k * dim <= broadcast_limit:
         partial = _nearest_sums(sample, centroids, dim)
     else:
         nearest = assign_nearest(sample.select("idx", "embedding"), centroids, ["idx"], broadcast_limit)
         partial = _member_sums(nearest.join(sample.select("idx", "embedding"), "idx"), dim)
     total = vector_to_array(Summarizer.sum(array_to_vector("total")))
-    means = partial.groupBy("cid").agg(F.sum("n").alias("n"), total.alias("total"))
-    return _refill_empty(means.select("cid", "n", l2_normalize(F.col("total")).alias("centroid")), centroids)
+    sums = partial.groupBy("cid").agg(F.sum("n").alias("n"), total.alias("total"))
+    means = materialize(sums.select("cid", "n", l2_normalize(F.col("total")).alias("centroid")), "means")
+    if means.count() == k:
+        return means.select("cid", "centroid")
+    return materialize(_refill_empty(means, centroids), "centroids")
+
+
+def lloyd_step(sample: DataFrame, centroids: DataFrame, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """One iteration: assign the sample to the centroids and move them to the member means."""
+    return _moved(sample, centroids, *centroid_shape(centroids), broadcast_limit)
 
 
 def fit_kmeans(
@@ -155,8 +162,9 @@ def fit_kmeans(
     if n < k:
         raise ValueError(f"{n} training rows for {k} clusters")
     centroids = materialize(initial_centroids(sample, k, seed), "centroids")
+    _, dim = centroid_shape(centroids)
     for _ in range(n_iter):
-        centroids = materialize(lloyd_step(sample, centroids, broadcast_limit), "centroids")
+        centroids = _moved(sample, centroids, k, dim, broadcast_limit)
     return centroids.select(F.col("cid").cast("int").alias("cid"), F.col("centroid").cast("array<float>").alias("centroid"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from semprune.functions.names import keep_name
-from semprune.operators.quantiles import threshold_at
+from semprune.operators.quantiles import thresholds_at
 from semprune.session import materialize
 
 # Largest kept-set bitmap (bytes) sent to every executor, and the size of one of its pages.
@@ -41,7 +41,8 @@ def keep_test(scores: DataFrame, threshold: float | None = None, column: str = "
 
 def keep_flags(scores: DataFrame, quantile_table: DataFrame, fractions: list[float]) -> DataFrame:
     """One strict boolean column per keep fraction, in one pass."""
-    flags = [(F.col("sim") < F.lit(threshold_at(quantile_table, q))).alias(keep_name(q)) for q in fractions]
+    thresholds = thresholds_at(quantile_table, fractions)
+    flags = [(F.col("sim") < F.lit(t)).alias(keep_name(q)) for q, t in zip(fractions, thresholds)]
     return scores.select("uid", *flags)
 
 

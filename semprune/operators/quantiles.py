@@ -59,18 +59,22 @@ def quantiles(
     group = group or []
     points = DEFAULT_QUANTILES if points is None else [float(q) for q in points]
 
-    def rank(q: float, high: bool) -> Column:
-        spot = F.lit(q) * (F.col("total") - 1)
-        label = F.struct(F.lit(q).alias("q"), F.lit(high).alias("high"), (spot - F.floor(spot)).alias("weight"))
-        place = F.ceil(spot) if high else F.floor(spot)
-        return F.struct(label.alias("label"), place.cast("long").alias("rank"))
+    def around(q: Column) -> Column:
+        """The two ranks between which the quantile lies."""
+        spot = q * (F.col("total") - 1)
 
-    ranks = F.array(*[rank(q, high) for q in points for high in (False, True)])
+        def rank(high: bool) -> Column:
+            place = F.ceil(spot) if high else F.floor(spot)
+            label = F.struct(q.alias("q"), F.lit(high).alias("high"), (spot - F.floor(spot)).alias("weight"))
+            return F.struct(label.alias("label"), place.cast("long").alias("rank"))
+
+        return F.array(rank(False), rank(True))
+
+    ranks = F.flatten(F.transform(F.lit(points), around))
     found = values_at(scores, column, ranks, unit_cell(F.col("_v")), group)
+    lower, upper = (F.max(F.when(F.col("label.high") == high, F.col("value"))) for high in (False, True))
     bounds = found.groupBy(*group, F.col("label.q").alias("q")).agg(
-        F.max(F.when(~F.col("label.high"), F.col("value"))).alias("lower"),
-        F.max(F.when(F.col("label.high"), F.col("value"))).alias("upper"),
-        F.max("label.weight").alias("weight"),
+        lower.alias("lower"), upper.alias("upper"), F.max("label.weight").alias("weight")
     )
     value = F.col("lower") + (F.col("upper") - F.col("lower")) * F.col("weight")
     return bounds.select(*group, "q", value.alias("value"))
@@ -88,10 +92,18 @@ def merge_quantiles(per_shard: DataFrame) -> DataFrame:
     return per_shard.groupBy("q").agg(weighted.alias("value"))
 
 
-def threshold_at(quantile_table: DataFrame, fraction: float) -> float:
-    """Value stored for one quantile point; an unknown point is an error that lists the known ones."""
+def thresholds_at(quantile_table: DataFrame, fractions: list[float]) -> list[float]:
+    """Values stored for quantile points; an unknown point is an error that lists the known ones."""
     known = {row.q: row.value for row in quantile_table.select("q", "value").collect()}
-    for q, value in known.items():
-        if abs(q - fraction) < QUANTILE_TOLERANCE:
-            return value
-    raise KeyError(f"quantile {fraction} is not available; use one of {sorted(known)}")
+
+    def value_of(fraction: float) -> float:
+        for q, value in known.items():
+            if abs(q - fraction) < QUANTILE_TOLERANCE:
+                return value
+        raise KeyError(f"quantile {fraction} is not available; use one of {sorted(known)}")
+
+    return [value_of(fraction) for fraction in fractions]
+
+
+def threshold_at(quantile_table: DataFrame, fraction: float) -> float:
+    return thresholds_at(quantile_table, [fraction])[0]
