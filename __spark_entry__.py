@@ -194,7 +194,9 @@ def q_train_subsample(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _vectors(spark, sf_dir)
     fitted = kmeans.fit_kmeans(vectors, k=10, n_iter=5)
-    return fitted.select("cid", F.posexplode("centroid").alias("pos", "value"))
+    return fitted.select("cid", F.posexplode("centroid").alias("pos", "value")).select(
+        "cid", "pos", _digits(F.col("value").cast("double"), 5).alias("value")
+    )
 
 
 def q_kmeans_assign_saved(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -116,6 +116,28 @@ doc_vec AS (SELECT v.doc_id, v.pos, sum(v.value) / max(n_chunks) AS value FROM c
 """
 
 
+def kmeans(k: int, n_iter: int, cap: int, seed: int) -> str:
+    """Spherical k-means: hash-ordered sample and start, then assign / mean / normalise."""
+
+    def hashed(key: int) -> str:
+        return f"('0x' || substr(md5(vec_id || ':{key}'), 1, 15))::BIGINT"
+
+    parts = [
+        f"sample AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings ORDER BY {hashed(seed)} LIMIT {k * cap})",
+        f"c0 AS (SELECT row_number() OVER (ORDER BY {hashed(seed + 1)}) - 1 AS cid, "
+        f"list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS c FROM (SELECT * FROM sample ORDER BY {hashed(seed + 1)} LIMIT {k}))",
+    ]
+    for i in range(n_iter):
+        parts += [
+            f"near{i} AS (SELECT vec_id, v, arg_max(cid, list_dot_product(v, c)) AS cid FROM sample CROSS JOIN c{i} GROUP BY vec_id, v)",
+            f"sum{i} AS (SELECT cid, pos, sum(x) AS x FROM (SELECT cid, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM near{i}) GROUP BY cid, pos)",
+            f"len{i} AS (SELECT cid, sqrt(sum(x * x)) AS n FROM sum{i} GROUP BY cid)",
+            f"c{i + 1} AS (SELECT sum{i}.cid, list(x / n ORDER BY pos) AS c FROM sum{i} JOIN len{i} USING (cid) GROUP BY sum{i}.cid)",
+        ]
+    long = f"SELECT cid::INT AS cid, unnest(c) AS x, (generate_subscripts(c, 1) - 1)::INT AS pos FROM c{n_iter}"
+    return f"WITH {', '.join(parts)} SELECT cid, pos, round(x::FLOAT::DOUBLE, 5) AS value FROM ({long})"
+
+
 def statements() -> dict[str, str]:
     return {
         "semantic_prune": f"""
@@ -168,6 +190,8 @@ SELECT moved.cid, pos::INT AS pos, round(m / n, 6) AS value FROM moved JOIN size
         "train_subsample": """
 SELECT vec_id AS uid FROM embeddings ORDER BY ('0x' || substr(md5(vec_id || ':1234'), 1, 15))::BIGINT LIMIT 160
 """,
+        "kmeans_fit": kmeans(10, 5, 256, 1234),
+        "kmeans_assign_saved": f"WITH {NEAREST} SELECT cid, count(*) AS n FROM nearest GROUP BY cid",
         "max_similarity": f"WITH {LABEL_SCORES} SELECT cid, ord, uid, round(sim, 6) AS sim FROM sims",
         "max_similarity_tiles": f"WITH {LABEL_SCORES} SELECT cid, ord, uid, round(sim, 6) AS sim FROM sims",
         "max_similarity_copies": f"""

@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from semprune.functions.vectors import has_nan, is_zero_vector, squared_norm
 from semprune.operators.shards import shard_sizes
@@ -31,6 +32,13 @@ def _both_sides(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return a.join(b, key, "full_outer")
 
 
+def _side_by_side(*rows: DataFrame) -> DataFrame:
+    """One-row tables of counts as one row."""
+    names = [c for row in rows for c in row.columns]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return stacked.agg(*[F.max(c).alias(c) for c in names])
+
+
 def check_counts(ids: DataFrame, vectors: DataFrame) -> DataFrame:
     """Every id has a vector and every vector an id (by ``idx``)."""
     return _both_sides(ids, vectors, "idx").agg(
@@ -64,10 +72,10 @@ def check_cluster_counts(members: DataFrame) -> DataFrame:
     Takes one row per (shard, cid), empty clusters included.
     """
     counts = members.groupBy("shard").agg((F.max("cid") + 1).cast("long").alias("n_clusters"))
-    extremes = counts.agg(F.min("n_clusters").alias("low"), F.max("n_clusters").alias("high"))
-    return counts.join(F.broadcast(extremes)).select(
-        "shard", "n_clusters", (F.col("low") == F.col("high")).alias("ok")
-    )
+    # One row per shard.
+    shards = Window.partitionBy()
+    same = F.min("n_clusters").over(shards) == F.max("n_clusters").over(shards)
+    return counts.select("shard", "n_clusters", same.alias("ok"))
 
 
 def check_unique(rows: DataFrame, key: str) -> DataFrame:
@@ -85,16 +93,18 @@ def check_bijection(id_map: DataFrame, members: DataFrame) -> DataFrame:
 
     pairs = id_map.select("idx", "uid").distinct()
     strangers = members.select("idx", "uid").join(pairs, ["idx", "uid"], "left_anti")
-    report = ambiguous("idx", "uid", "ambiguous_idx")
-    report = report.join(F.broadcast(ambiguous("uid", "idx", "ambiguous_uid")))
-    report = report.join(F.broadcast(strangers.agg(F.count("*").alias("wrong_members"))))
+    report = _side_by_side(
+        ambiguous("idx", "uid", "ambiguous_idx"),
+        ambiguous("uid", "idx", "ambiguous_uid"),
+        strangers.agg(F.count("*").alias("wrong_members")),
+    )
     return report.withColumn("ok", F.col("ambiguous_idx") + F.col("ambiguous_uid") + F.col("wrong_members") == 0)
 
 
 def check_member_labels(members: DataFrame, id_map: DataFrame) -> DataFrame:
     """As many labels as indices in the clusters, as many as ids in the map."""
     counts = members.agg(F.count("idx").alias("n_inds"), F.count("uid").alias("n_labels"))
-    report = counts.join(F.broadcast(id_map.agg(F.count("*").alias("n_ids"))))
+    report = _side_by_side(counts, id_map.agg(F.count("*").alias("n_ids")))
     return report.withColumn("ok", (F.col("n_inds") == F.col("n_labels")) & (F.col("n_labels") == F.col("n_ids")))
 
 

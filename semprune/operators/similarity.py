@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from semprune.functions.arrow import list_matrix
@@ -19,8 +19,11 @@ from semprune.functions.vectors import fingerprint, squared_norm
 from semprune.operators.positions import position_by_key
 from semprune.session import materialize
 
-# A tile holds as many float32 vectors as fit in this many bytes. A row is sent to as many
-# tasks as its cluster has tiles, so larger tiles trade task memory for shuffle volume.
+# Tiles of a cluster. Small clusters are one tile; larger ones get up to TILES_AIM tiles, which
+# is enough pairs to keep many tasks busy; beyond that tiles grow, because a row is sent to as
+# many tasks as its cluster has tiles, until a tile reaches TILE_BYTES of float32 values.
+TILE_ROWS = 4096
+TILES_AIM = 32
 TILE_BYTES = 64 << 20
 # Rows of the two tiles multiplied at once, in double precision.
 QUERY_STRIP = 1024
@@ -56,6 +59,13 @@ def _tile_scores(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     )
 
 
+def _tile_height(tile_rows: int | None) -> Column:
+    if tile_rows:
+        return F.lit(tile_rows)
+    most = F.greatest(F.lit(1), F.floor(F.lit(TILE_BYTES) / (4 * F.size("embedding"))))
+    return F.least(most, F.greatest(F.lit(TILE_ROWS), F.ceil(F.col("n_distinct") / TILES_AIM)))
+
+
 def score_distinct(placed: DataFrame, vectors: DataFrame, tile_rows: int | None = None) -> DataFrame:
     """(cid, idx, pos, n_distinct) with vectors by ``idx`` -> (cid, pos, sim).
 
@@ -63,13 +73,13 @@ def score_distinct(placed: DataFrame, vectors: DataFrame, tile_rows: int | None
     holds two tiles whatever the size of the cluster.
     """
     rows = placed.select("cid", "idx", "pos", "n_distinct").join(vectors.select("idx", "embedding"), "idx")
-    height = F.lit(tile_rows) if tile_rows else F.greatest(F.lit(1), F.floor(F.lit(TILE_BYTES) / (4 * F.size("embedding"))))
+    rows = rows.withColumn("height", _tile_height(tile_rows))
     tiled = rows.select(
         "cid",
         "pos",
         "embedding",
-        F.floor(F.col("pos") / height).cast("int").alias("tile"),
-        F.explode(F.sequence(F.lit(0), F.floor((F.col("n_distinct") - 1) / height).cast("int"))).alias("partner"),
+        F.floor(F.col("pos") / F.col("height")).cast("int").alias("tile"),
+        F.explode(F.sequence(F.lit(0), F.floor((F.col("n_distinct") - 1) / F.col("height")).cast("int"))).alias("partner"),
     )
     pairs = tiled.select(
         "cid",

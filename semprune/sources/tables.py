@@ -6,7 +6,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from semprune.operators.checks import check_shard_kinds, check_shards, require
-from semprune.operators.positions import number_rows
+from semprune.operators.positions import number_rows, running_before
+
+# Most files whose row offsets are broadcast to number the rows of a dataset.
+FILES_LIMIT = 1 << 20
+
+
+def number_file_rows(df: DataFrame) -> DataFrame | None:
+    """Contiguous 0-based ``idx`` of the rows of a parquet scan, by (file path, row in file).
+
+    Only row counts are read beforehand and nothing is shuffled or rewritten. None when a
+    filter has left gaps in the files or there are too many of them.
+    """
+    placed = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = placed.groupBy("_file").agg(F.count("*").alias("_n"), (F.max("_row") + 1).alias("_end"))
+    extent = files.agg(F.count("*").alias("files"), F.count_if(F.col("_n") != F.col("_end")).alias("gaps")).first()
+    if extent.gaps or extent.files > FILES_LIMIT:
+        return None
+    starts = files.select("_file", running_before("_n", [], ["_file"]).alias("_start"))
+    return placed.join(F.broadcast(starts), "_file").select((F.col("_start") + F.col("_row")).alias("idx"), *df.columns)
 
 
 def read_documents(
@@ -17,7 +35,7 @@ def read_documents(
     split_key: str = "split",
     index_key: str | None = None,
 ) -> DataFrame:
-    """Document dataset with a stable ``idx``: the column ``index_key``, or else the scan position.
+    """Document dataset with a stable ``idx``: the column ``index_key``, or else the position.
 
     ``split`` selects one partition directory (or value) of ``split_key``.
     """
@@ -26,7 +44,10 @@ def read_documents(
         df = df.where(F.col(split_key) == split)
     if index_key is not None:
         return df.withColumn("idx", F.col(index_key).cast("long"))
-    return df if "idx" in df.columns else number_rows(df)
+    if "idx" in df.columns:
+        return df
+    numbered = number_file_rows(df) if file_format == "parquet" else None
+    return number_rows(df) if numbered is None else numbered
 
 
 def shard_of_file() -> Column:

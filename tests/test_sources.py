@@ -58,6 +58,18 @@ def test_split_and_index(spark, tmp_path):
     assert val.where("idx <> doc_id").count() == 0
     numbered = tables.read_documents(spark, str(tmp_path / "docs"))
     assert collected(numbered, "idx") == [(i,) for i in range(docs.count())]
+    one_split = tables.read_documents(spark, str(tmp_path / "docs"), split="val")
+    assert collected(one_split, "idx") == [(i,) for i in range(val.count())]
+
+
+@pytest.mark.parametrize("file_format,split", [("parquet", None), ("parquet", "even"), ("json", None)])
+def test_positions_without_an_index(spark, tmp_path, file_format, split):
+    rows = spark.range(60).select("id", F.when(F.col("id") % 2 == 0, "even").otherwise("odd").alias("split"))
+    rows.repartition(4).write.format(file_format).save(str(tmp_path / "rows"))
+    first = tables.read_documents(spark, str(tmp_path / "rows"), file_format, split)
+    again = tables.read_documents(spark, str(tmp_path / "rows"), file_format, split)
+    assert collected(first, "idx") == [(i,) for i in range(30 if split else 60)]
+    assert collected(first, "idx", "id") == collected(again, "idx", "id")
 
 
 def test_pairing_needs_complete_shards(spark, tmp_path):
