@@ -452,15 +452,15 @@ def q_char_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("uid", "chunk", F.length("piece").alias("n_chars"), F.md5("piece").alias("digest"))
 
 
-def _components(vectors: DataFrame, *names: str) -> DataFrame:
+def _components(vectors: DataFrame, *names: str, digits: int = 9) -> DataFrame:
     """Non-zero components, one per row."""
     long = vectors.select(*names, F.posexplode("embedding").alias("pos", "value")).where(F.col("value") != 0)
-    return long.select(*names, "pos", _digits(F.col("value").cast("double"), 5).alias("value"))
+    return long.select(*names, "pos", _digits(F.col("value").cast("double"), digits).alias("value"))
 
 
 def q_hashed_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = embed.embed_documents(_documents(spark, sf_dir), embed.HashedWords(DIM), CHUNK_SIZE)
-    return _components(vectors, "uid", "n_chunks")
+    return _components(vectors, "uid", "n_chunks", digits=5)
 
 
 def q_chunk_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

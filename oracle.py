@@ -307,8 +307,8 @@ WITH {CHUNK_COUNTS}, norms AS (SELECT doc_id, sqrt(sum(value * value)) AS n FROM
 SELECT v.doc_id AS uid, n_chunks, pos, round((value / greatest(n, 1e-12))::FLOAT::DOUBLE, 5) AS value
 FROM doc_vec v JOIN norms USING (doc_id) JOIN n_chunks USING (doc_id)
 """,
-        "chunk_vectors": f"WITH {CHUNK_COUNTS} SELECT doc_id AS uid, chunk, pos, round(value, 5) AS value FROM chunk_vec",
-        "document_mean_vector": f"WITH {CHUNK_COUNTS} SELECT doc_id AS uid, pos, round(value, 5) AS value FROM doc_vec",
+        "chunk_vectors": f"WITH {CHUNK_COUNTS} SELECT doc_id AS uid, chunk, pos, round(value, 9) AS value FROM chunk_vec",
+        "document_mean_vector": f"WITH {CHUNK_COUNTS} SELECT doc_id AS uid, pos, round(value, 9) AS value FROM doc_vec",
         "text_length": f"""
 WITH {TOKENS} SELECT d.doc_id, length(d.text)::INT AS length, len(words)::INT AS n_tokens FROM documents d JOIN tokens USING (doc_id)
 """,
