@@ -63,7 +63,7 @@ def chunk_documents(
     head = [*tokenizer.start, *(tokenizer.instruction(instruction) if instruction else [])]
     tail = list(tokenizer.end)
     content = chunk_size - len(head) - len(tail)
-    chunks = token_chunks(tokenizer.tokens(F.col(text_key)), content, head, tail)
+    chunks = token_chunks(tokenizer.tokens(F.coalesce(text_key, F.lit(""))), content, head, tail)
     cut = documents.select("idx", uid_column(documents, uid_key).alias("uid"), F.posexplode(chunks).alias("chunk", "tokens"))
     return cut.withColumn("n_tokens", F.size("tokens"))
 
@@ -74,5 +74,5 @@ def chunk_counts(chunks: DataFrame) -> DataFrame:
 
 def chunk_characters(documents: DataFrame, width: int, uid_key: str | None = None, text_key: str = "text") -> DataFrame:
     """(idx, uid, chunk, piece): consecutive pieces of ``width`` characters."""
-    pieces = F.posexplode(character_chunks(F.col(text_key), width)).alias("chunk", "piece")
+    pieces = F.posexplode(character_chunks(F.coalesce(text_key, F.lit("")), width)).alias("chunk", "piece")
     return documents.select("idx", uid_column(documents, uid_key).alias("uid"), pieces)

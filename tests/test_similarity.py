@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from helpers import brute_scores, collected, random_unit, vectors_of
 
+from semprune.operators import similarity
 from semprune.operators.clusters import first_clusters, order_members
 from semprune.operators.similarity import max_similarity
 
@@ -49,6 +50,16 @@ def test_equals_brute_force(spark, skewed, tile_rows, hot_copies):
     np.testing.assert_allclose([sims[i] for i in range(len(v))], brute_scores(cids, v), atol=5e-7)
 
 
+def test_tiles_grow_with_the_cluster(spark, skewed, monkeypatch):
+    cids, v = skewed
+    monkeypatch.setattr(similarity, "TILE_ROWS", 4)
+    monkeypatch.setattr(similarity, "TILES_AIM", 8)
+    for most in (64 << 20, 10 * 4 * 8):
+        monkeypatch.setattr(similarity, "TILE_BYTES", most)
+        sims = scored(spark, zip(range(len(v)), cids, v))
+        np.testing.assert_allclose([sims[i] for i in range(len(v))], brute_scores(cids, v), atol=5e-7)
+
+
 def test_bounds_and_first_of_cluster(spark, skewed):
     cids, v = skewed
     sims = scored(spark, zip(range(len(v)), cids, v))

@@ -37,8 +37,10 @@ def test_special_tokens_frame_the_instruction(spark):
 
 
 def test_empty_text_keeps_a_chunk(spark):
-    rows = chunk.chunk_documents(docs_of(spark, "", "  \n"), 3).collect()
-    assert [(r.chunk, r.n_tokens) for r in rows] == [(0, 0), (0, 0)]
+    docs = docs_of(spark, "", "  \n", None)
+    assert [(r.chunk, r.n_tokens) for r in chunk.chunk_documents(docs, 3).collect()] == [(0, 0)] * 3
+    assert chunk.chunk_characters(docs, 5).count() == 3
+    assert embed.embed_documents(docs, embed.HashedWords(4), 3).where("n_chunks = 1").count() == 3
 
 
 def test_no_room_for_text(spark):
