@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from semprune.operators.joins import join_counts
 from semprune.session import materialize
 
 # Keys per slice: the most rows one task orders at once in ``position_by_key``.
@@ -64,7 +65,7 @@ def position_by_order(df: DataFrame, group: list[str], order: list[Column], out:
     runs = placed.groupBy("_part", *group).agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
     # One row per partition a group touches.
     runs = runs.select("_part", *group, "_first", running_before("_n", group, ["_part"]).alias("_before"))
-    return placed.join(runs, ["_part", *group]).select(
+    return join_counts(placed, runs, ["_part", *group]).select(
         *df.columns, (F.col("_row") - F.col("_first") + F.col("_before")).cast("long").alias(out)
     )
 
@@ -78,6 +79,6 @@ def number_rows(df: DataFrame, out: str = "idx") -> DataFrame:
     placed = placed.withColumn("_part", F.shiftright("_row", 33))
     runs = placed.groupBy("_part").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
     runs = runs.select("_part", "_first", running_before("_n", [], ["_part"]).alias("_before"))
-    return placed.join(runs, "_part").select(
+    return join_counts(placed, runs, ["_part"]).select(
         (F.col("_row") - F.col("_first") + F.col("_before")).cast("long").alias(out), *df.columns
     )

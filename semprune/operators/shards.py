@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from semprune.operators.joins import join_counts
 from semprune.operators.positions import running_before
 
 
@@ -23,14 +24,14 @@ def shard_offsets(rows: DataFrame) -> DataFrame:
 def merge_shards(rows: DataFrame, index: str = "idx") -> DataFrame:
     """Union of shards with the local index moved behind the earlier shards."""
     offsets = shard_offsets(rows).select("shard", "offset")
-    return rows.join(offsets, "shard").withColumn(index, F.col(index) + F.col("offset")).drop("offset")
+    return join_counts(rows, offsets, ["shard"]).withColumn(index, F.col(index) + F.col("offset")).drop("offset")
 
 
 def merge_member_lists(members: DataFrame) -> DataFrame:
     """Cluster lists of all shards appended in shard order: new ``ord`` per cluster."""
     sizes = members.groupBy("cid", "shard").agg(F.count("*").alias("n"))
     earlier = sizes.select("cid", "shard", running_before("n", ["cid"], ["shard"]).alias("earlier"))
-    moved = members.join(earlier, ["cid", "shard"])
+    moved = join_counts(members, earlier, ["cid", "shard"])
     return moved.withColumn("ord", F.col("ord") + F.col("earlier")).drop("earlier")
 
 
@@ -76,7 +77,7 @@ def subset_positions(members: DataFrame, n_clusters: int, n_subsets: int, rank:
     offsets = per_shard.select("subset", "shard", running_before("n", ["subset"], ["shard"]).alias("shard_start"))
     places = starts.join(offsets, ["subset", "shard"])
     pos = F.col("cluster_start") + F.col(rank)
-    return members.join(places, ["cid", "shard"]).select(
+    return join_counts(members, places, ["cid", "shard"]).select(
         "subset", *members.columns, pos.alias("pos"), (F.col("shard_start") + pos).alias("subset_idx")
     )
 

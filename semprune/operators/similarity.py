@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from semprune.functions.arrow import list_matrix
 from semprune.functions.vectors import fingerprint, squared_norm
+from semprune.operators.joins import SMALL_ROWS
 from semprune.operators.positions import position_by_key
 from semprune.session import materialize
 
@@ -118,14 +119,19 @@ def max_similarity(
     placed = materialize(placed, "distinct")
     scored = placed.join(score_distinct(placed, vectors, tile_rows), ["cid", "pos"])
 
-    # Vectors with very many copies are split over HOT_PARTS join keys on both sides; there are
-    # at most rows / hot_copies of them.
+    # Vectors with very many copies are split over HOT_PARTS join keys on both sides.
     is_hot = F.col("copies") > hot_copies
-    parts = F.sequence(F.lit(0), F.when(is_hot, F.lit(HOT_PARTS - 1)).otherwise(F.lit(0)))
-    scores = scored.select(*vector_key, F.col("ord").alias("first_ord"), "sim", F.explode(parts).alias("part"))
     hot = placed.where(is_hot).select(*vector_key, F.lit(True).alias("hot"))
-    part = F.when(F.col("hot"), F.pmod("ord", F.lit(HOT_PARTS))).otherwise(F.lit(0)).cast("int")
-    spread = narrow.join(hot, vector_key, "left").withColumn("part", part)
-    joined = spread.join(scores, [*vector_key, "part"])
+    scores = scored.select(*vector_key, F.col("ord").alias("first_ord"), "sim", "copies")
+    n_hot = hot.count()
+    if n_hot:
+        parts = F.sequence(F.lit(0), F.when(is_hot, F.lit(HOT_PARTS - 1)).otherwise(F.lit(0)))
+        scores = scores.withColumn("part", F.explode(parts))
+        # At most rows / hot_copies of them.
+        marked = narrow.join(F.broadcast(hot) if n_hot <= SMALL_ROWS else hot, vector_key, "left")
+        part = F.when(F.col("hot"), F.pmod("ord", F.lit(HOT_PARTS))).otherwise(F.lit(0)).cast("int")
+        joined = marked.withColumn("part", part).join(scores, [*vector_key, "part"])
+    else:
+        joined = narrow.join(scores, vector_key)
     sim = F.when(F.col("ord") == F.col("first_ord"), F.col("sim")).otherwise(F.greatest("sim", "self_sim"))
     return joined.select("cid", "ord", "idx", "uid", sim.alias("sim"))

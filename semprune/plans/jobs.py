@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from semprune.functions.vectors import is_zero_vector
 from semprune.operators import checks, chunk, clusters, embed, ids, kmeans, merge, prune, quantiles, shards
 from semprune.operators.assign import assign_nearest
 from semprune.operators.positions import position_by_key
@@ -103,7 +104,7 @@ def cluster_job(
         fitted = spark.read.parquet(centroids)
         checks.require(checks.check_centroids(fitted), "centroids")
     else:
-        trainable = table.join(embed.zero_vectors(table).select("idx"), "idx", "left_anti")
+        trainable = table.where(~is_zero_vector(F.col("embedding")))
         fitted = kmeans.fit_kmeans(trainable, n_centroids, n_iter, seed, max_points_per_centroid)
         if save_centroids:
             sinks.write_centroids(fitted, f"{output}/centroids")
