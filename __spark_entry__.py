@@ -7,6 +7,7 @@ means of the labels; where it needs shards, ``vec_id % 4`` names the shard of a
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -26,6 +27,12 @@ from semprune.operators.similarity import max_similarity
 from semprune.session import materialize, scratch_path, ship_package
 from semprune.sources import matrix, sinks, tables
 
+#: The corpus operators are an optional part; what else is here works without them.
+WITH_LLM = importlib.util.find_spec("semprune.llm") is not None
+if WITH_LLM:
+    import corpus_pipeline
+    from semprune.llm import queries as llm_queries
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 KEEP = 0.8
 N_SHARDS = 4
@@ -571,8 +578,15 @@ def _registered(function: Callable[[SparkSession, str], DataFrame]) -> Callable[
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = {name[2:]: f for name, f in globals().items() if name.startswith("q_")}
+    if WITH_LLM:
+        named |= {**llm_queries.QUERIES, "pipeline": corpus_pipeline.run}
     return {name: _registered(f) for name, f in {"semantic_prune": _flagship, **named}.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, sql in oracle.statements().items() if name in queries()}
+    statements = oracle.statements()
+    if WITH_LLM:
+        statements |= llm_queries.SQL
+        if corpus_pipeline.ORACLE_SQL:
+            statements["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {name: sql for name, sql in statements.items() if name in queries()}
