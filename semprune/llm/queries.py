@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from semprune.llm import chat, external_shuffle, quality, sql, trust
+from semprune.llm import chat, external_shuffle, packing, quality, simhash, sql, trust
 from semprune.session import materialize
 
 N_SHARDS = 8
@@ -26,6 +26,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(_table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op2_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     size = external_shuffle.record_bytes(F.col("text"))
@@ -78,6 +83,11 @@ def op9_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_copies(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), simhash.as_hex(F.col("print")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op") and name[2].isdigit()}
 SQL = {
     "op3_quality_rules": sql.quality_rules(),
