@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from semprune.llm import chat, external_shuffle, packing, quality, simhash, sql, trust
+from semprune.llm import chat, decontaminate, external_shuffle, packing, pseudonyms, quality, simhash, sql, trust
 from semprune.session import materialize
 
 N_SHARDS = 8
@@ -78,6 +78,14 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymise(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_replaced")
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = trust.judge_pages(_table(spark, sf_dir, "pages"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
