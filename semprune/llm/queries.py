@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from semprune.llm import chat, decontaminate, external_shuffle, packing, pseudonyms, quality, simhash, sql, trust
+from semprune.llm import chat, decontaminate, external_shuffle, line_dedup, packing, pseudonyms, quality, simhash, sql, trust
 from semprune.session import materialize
 
 N_SHARDS = 8
@@ -86,6 +86,24 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document; ``removed`` lists the numbers of the lines that go."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = materialize(line_dedup.removed_lines(docs), "lines-removed")
+    n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n"))
+    narrow = docs.select("doc_id", F.xxhash64("text").alias("doc_hash"), n_lines.cast("long").alias("n_lines"))
+    mine = found.select(F.col("doc_id").alias("_id"), F.col("doc_hash").alias("_hash"), "judged", "removed")
+    both = narrow.join(mine, (F.col("doc_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    gone = F.coalesce("removed", F.array().cast("array<int>"))
+    return both.select(
+        "doc_id",
+        "n_lines",
+        F.coalesce("judged", F.lit(0)).cast("long").alias("n_judged"),
+        F.size(gone).cast("long").alias("n_removed"),
+        F.array_join(gone.cast("array<string>"), ",").alias("removed"),
+    )
+
+
 def op9_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = trust.judge_pages(_table(spark, sf_dir, "pages"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
