@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from semprune.llm import chat, decontaminate, external_shuffle, line_dedup, packing, pseudonyms, quality, simhash, sql, trust
-from semprune.session import materialize
+from semprune.llm import chat, decontaminate, external_shuffle, line_dedup, packing, pseudonyms, quality, simhash, sql, trust, warc
+from semprune.session import materialize, scratch_path
 
 N_SHARDS = 8
 
@@ -86,6 +86,12 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    return warc.payload_facts(warc.read_archives(spark, path))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each document; ``removed`` lists the numbers of the lines that go."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -118,5 +124,6 @@ QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op
 SQL = {
     "op3_quality_rules": sql.quality_rules(),
     "op4_chat_format": sql.chat_format(PLANTED_TEXT),
+    "op7_warc": sql.warc(),
     "op9_url_trust": sql.url_trust(URL_RULES),
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from semprune.llm import chat, quality, trust
+from semprune.llm import warc as archives
 
 
 def _list(values: list[str]) -> str:
@@ -99,3 +100,13 @@ nodes AS (SELECT host, coalesce(trusted, 0)::DOUBLE AS trusted, coalesce(blocked
 suspects AS (SELECT host FROM t{last} JOIN d{last} USING (host) WHERE d{last}.score > greatest(t{last}.score, {trust.THRESHOLD}))
 SELECT page_id, host, path, rule, coalesce(said, CASE WHEN host IN (SELECT host FROM suspects) THEN 'block' ELSE 'allow' END) AS verdict FROM ruled
 """
+
+
+def warc() -> str:
+    return f"""
+WITH rows AS (SELECT page_id, strlen(coalesce(html, '')) AS bytes, sha1(coalesce(html, '')) AS digest FROM pages),
+same AS (SELECT digest, max(page_id) AS holder FROM rows WHERE bytes >= {archives.MIN_REVISIT_BYTES} GROUP BY digest HAVING count(*) > 1),
+held AS (SELECT rows.*, CASE WHEN page_id IS DISTINCT FROM holder THEN holder END AS refers_to FROM rows LEFT JOIN same USING (digest))
+SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
+  CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to FROM held
+"""
