@@ -117,7 +117,7 @@ def op9_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_copies(_table(spark, sf_dir, "documents"))
-    return found.select(F.col("id").alias("doc_id"), simhash.as_hex(F.col("print")).alias("fingerprint"), F.col("component").alias("component_id"))
+    return found.select(F.col("id").alias("doc_id"), simhash.as_hex(F.get("prints", F.lit(0))).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op") and name[2].isdigit()}
