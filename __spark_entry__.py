@@ -24,6 +24,7 @@ from semprune.operators import checks, chunk, clusters, embed, ids, kmeans, merg
 from semprune.operators.assign import assign_nearest
 from semprune.operators.positions import position_by_key
 from semprune.operators.similarity import max_similarity
+from semprune.plans import jobs
 from semprune.session import materialize, scratch_path, ship_package
 from semprune.sources import matrix, sinks, tables
 
@@ -139,7 +140,15 @@ def q_assign_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_assign_nearest_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plan for centroids beyond the broadcast limit."""
     vectors = _vectors(spark, sf_dir)
-    assigned = assign_nearest(vectors.select("uid", "embedding"), _centroids(vectors), ["uid"], 4 * 8 * DIM, 128)
+    assigned = assign_nearest(vectors.select("uid", "embedding"), _centroids(vectors), ["uid"], 4 * 8 * DIM)
+    return assigned.select("uid", "cid", _digits("centroid_sim").alias("centroid_sim"))
+
+
+def q_assign_nearest_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same plan where the kept column names many rows at once."""
+    vectors = _vectors(spark, sf_dir)
+    rows = vectors.select((F.col("uid") % 5).alias("uid"), "embedding")
+    assigned = assign_nearest(rows, _centroids(vectors), ["uid"], 4 * 8 * DIM)
     return assigned.select("uid", "cid", _digits("centroid_sim").alias("centroid_sim"))
 
 
@@ -206,6 +215,19 @@ def q_kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_kmeans_fit_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector three times, with components shifted by turns: far more rows than centroids."""
+    vectors = _vectors(spark, sf_dir)
+    copy = F.explode(F.sequence(F.lit(0), F.lit(2))).alias("copy")
+    rows = vectors.select("idx", "embedding", copy)
+    shifted = F.transform("embedding", lambda x, i: x.cast("double") * (1 + F.when(i % 3 == F.col("copy"), 0.5).otherwise(0.0)))
+    rows = rows.select((F.col("idx") * 3 + F.col("copy")).alias("idx"), shifted.cast("array<float>").alias("embedding"))
+    fitted = kmeans.fit_kmeans(rows, k=4, n_iter=4)
+    return fitted.select("cid", F.posexplode("centroid").alias("pos", "value")).select(
+        "cid", "pos", _digits(F.col("value").cast("double"), 5).alias("value")
+    )
+
+
 def q_kmeans_assign_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Centroids written and read back instead of trained."""
     vectors = _vectors(spark, sf_dir)
@@ -234,13 +256,24 @@ def q_max_similarity_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_max_similarity_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every vector three times; the second and third copy score against the first."""
+    """Every vector three times."""
     vectors = _vectors(spark, sf_dir)
     copy = F.explode(F.sequence(F.lit(0), F.lit(2))).alias("copy")
     tripled = vectors.select((F.col("idx") * 3).alias("base"), copy, "embedding", "cid")
     tripled = tripled.select((F.col("base") + F.col("copy")).alias("idx"), "embedding", "cid").withColumn("uid", F.col("idx"))
     scores = max_similarity(_labelled(tripled), tripled, hot_copies=2)
-    return scores.select("cid", "ord", "uid", _digits("sim", 5).alias("sim"))
+    return scores.select("cid", "ord", "uid", _digits("sim").alias("sim"))
+
+
+def q_max_similarity_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of lengths 0 to 6, three times each, in clusters of many: a later copy may be nearer to one between."""
+    vectors = _vectors(spark, sf_dir)
+    copy = F.explode(F.sequence(F.lit(0), F.lit(2))).alias("copy")
+    scaled = F.transform("embedding", lambda x: x.cast("double") * (F.col("idx") % 7))
+    rows = vectors.select("idx", copy, scaled.cast("array<float>").alias("embedding"), (F.col("cid") % 3).alias("cid"))
+    rows = rows.select((F.col("idx") + F.col("copy") * 100_000).alias("idx"), "embedding", "cid").withColumn("uid", F.col("idx"))
+    scores = max_similarity(_labelled(rows), rows, tile_rows=32)
+    return scores.select("cid", "ord", "uid", _digits("sim").alias("sim"))
 
 
 def q_similarity_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,6 +288,21 @@ def q_similarity_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select("q", _digits("value").alias("value"))
 
 
+def q_quantiles_of_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector three times: two thirds of the scores lie within rounding of 1."""
+    vectors = _vectors(spark, sf_dir)
+    copy = F.explode(F.sequence(F.lit(0), F.lit(2))).alias("copy")
+    rows = vectors.select("idx", copy, "embedding", "cid").withColumn("idx", F.col("idx") * 3 + F.col("copy")).withColumn("uid", F.col("idx"))
+    scores = materialize(max_similarity(_labelled(rows), rows), "scores")
+    return quantiles.quantiles(scores).select("q", _digits("value").alias("value"))
+
+
+def q_quantiles_of_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of a column far outside [0, 1]."""
+    lengths = _documents(spark, sf_dir).select(F.col("n_chars").cast("double").alias("n_chars"))
+    return quantiles.quantiles(lengths, column="n_chars").select("q", _digits("value").alias("value"))
+
+
 def q_keep_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = _label_scores(spark, sf_dir)
     return prune.keep_flags(scores, quantiles.quantiles(scores), [0.25, 0.5, 0.8])
@@ -303,6 +351,44 @@ def q_prune_outside_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outside.select("doc_id", "source", "n_chars")
 
 
+def q_prune_string_uids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names as uids: looked up narrowly, the texts stay where they are."""
+    name = lambda c: F.concat(F.lit("doc-"), F.col(c).cast("string"))
+    docs = _documents(spark, sf_dir).withColumn("name", name("doc_id"))
+    keeps = _keeps(_label_scores(spark, sf_dir)).withColumn("uid", name("uid"))
+    return prune.prune_documents(docs, keeps, "name").select("doc_id", "source", "n_chars")
+
+
+def q_prune_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores to flags to pruned documents, through the jobs."""
+    root = scratch_path(spark, "flag-pruning")
+    scores = _label_scores(spark, sf_dir)
+    scores.write.parquet(f"{root}/scores/similarity")
+    quantiles.quantiles(scores).write.parquet(f"{root}/scores/quantiles")
+    jobs.flags_job(spark, f"{root}/scores", f"{root}/flags", [0.5, KEEP])
+    target = jobs.prune_job(
+        spark, f"{sf_dir}/documents.parquet", f"{root}/flags", f"{root}/out", KEEP, uid_key="doc_id", index_key="doc_id", flags=True
+    )
+    return spark.read.parquet(target).select("doc_id", "source", "n_chars")
+
+
+def q_prune_repeated_uids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources as uids: each has many scores, of which the last by (cluster, position) counts."""
+    scores = _label_scores(spark, sf_dir)
+    threshold = quantiles.threshold_at(quantiles.quantiles(scores, [KEEP]), KEEP)
+    named = scores.withColumn("uid", F.concat(F.lit("src"), (F.col("uid") % 20).cast("string")))
+    keeps = prune.keep_map(merge.resolve_duplicates(named, "last"), threshold)
+    return prune.prune_documents(_documents(spark, sf_dir), keeps, "source").select("doc_id", "source", "n_chars")
+
+
+def q_read_documents_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in JSON files, numbered by (file, row) after a filter."""
+    path = scratch_path(spark, "json-documents")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    docs.repartitionByRange(3, "doc_id").sortWithinPartitions("doc_id").write.json(path)
+    return tables.read_documents(spark, path, "json", split="en", split_key="lang").select("idx", "doc_id", F.length("text").alias("length"))
+
+
 def q_prune_set_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = prune.set_totals(_documents(spark, sf_dir), _kept_uids(spark, sf_dir), "doc_id")
     return totals.withColumn("mean_length", _digits("mean_length"))
@@ -428,6 +514,21 @@ def q_merge_threshold_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("kept_share", _digits("kept_share"))
 
 
+def q_sharded_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two shards through the jobs: clusters, their merged lists, similarities, their merged scores."""
+    vectors = _vectors(spark, sf_dir)
+    root = scratch_path(spark, "sharded")
+    sinks.write_centroids(_centroids(vectors), f"{root}/centroids")
+    for shard in (0, 1):
+        vectors.where(F.col("uid") % 2 == shard).select("idx", "uid", "embedding").write.parquet(f"{root}/vectors/{shard}")
+        jobs.cluster_job(spark, f"{root}/vectors/{shard}", f"{root}/clusters/{shard}", centroids=f"{root}/centroids")
+        jobs.similarity_job(spark, f"{root}/clusters/{shard}/members", f"{root}/vectors/{shard}", f"{root}/scores/{shard}")
+    jobs.merge_clusters_job(spark, f"{root}/clusters", f"{root}/members")
+    jobs.merge_similarity_job(spark, f"{root}/scores", f"{root}/merged", delete_inputs=True)
+    merged = spark.read.parquet(f"{root}/merged/similarity").select("uid", _digits("sim").alias("sim"))
+    return spark.read.parquet(f"{root}/members").select("cid", "ord", "uid").join(merged, "uid")
+
+
 # --- text -------------------------------------------------------------------------------------------
 
 
@@ -514,7 +615,7 @@ def q_check_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_check_shard_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources as shards; the label table covers only part of the documents."""
     docs = _documents(spark, sf_dir).select("doc_id", F.concat_ws("-", "source", "lang").alias("shard"))
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(F.col("toxic") == 1).join(docs, "doc_id")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").join(docs, "doc_id")
     vectors = _vectors(spark, sf_dir).join(docs, F.col("uid") == docs.doc_id)
     return checks.check_shard_kinds(documents=docs, labels=labels, vectors=vectors)
 

@@ -27,6 +27,11 @@ nearest AS (SELECT vec_id, embedding, cid, dot FROM ranked WHERE place = 1)
 """
 
 
+# Every vector three times, with components shifted by turns.
+KMEANS_ALL = """SELECT vec_id * 3 + c AS vec_id,
+  list_transform(embedding, lambda x, i: (x::DOUBLE * (1 + (CASE WHEN (i - 1) % 3 = c THEN 0.5 ELSE 0 END)))::FLOAT) AS embedding FROM embeddings CROSS JOIN range(3) r(c)"""
+
+
 def members(name: str, source: str, cid: str) -> str:
     return f"""
 {name} AS (SELECT {cid} AS cid, row_number() OVER (PARTITION BY {cid} ORDER BY vec_id) - 1 AS ord, vec_id AS uid,
@@ -116,14 +121,14 @@ doc_vec AS (SELECT v.doc_id, v.pos, sum(v.value) / max(n_chunks) AS value FROM c
 """
 
 
-def kmeans(k: int, n_iter: int, cap: int, seed: int) -> str:
-    """Spherical k-means: hash-ordered sample and start, then assign / mean / normalise."""
+def kmeans(k: int, n_iter: int, seed: int, source: str = "embeddings") -> str:
+    """Spherical k-means over all rows: hash-ordered start, then assign / mean / normalise."""
 
     def hashed(key: int) -> str:
         return f"('0x' || substr(md5(vec_id || ':{key}'), 1, 15))::BIGINT"
 
     parts = [
-        f"sample AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings ORDER BY {hashed(seed)} LIMIT {k * cap})",
+        f"sample AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM ({source}))",
         f"c0 AS (SELECT row_number() OVER (ORDER BY {hashed(seed + 1)}) - 1 AS cid, "
         f"list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS c FROM (SELECT * FROM sample ORDER BY {hashed(seed + 1)} LIMIT {k}))",
     ]
@@ -156,6 +161,7 @@ FROM embeddings GROUP BY label
 """,
         "assign_nearest": f"WITH {NEAREST} SELECT vec_id AS uid, cid, round(dot, 6) AS centroid_sim FROM nearest",
         "assign_nearest_blocks": f"WITH {NEAREST} SELECT vec_id AS uid, cid, round(dot, 6) AS centroid_sim FROM nearest",
+        "assign_nearest_repeated": f"WITH {NEAREST} SELECT vec_id % 5 AS uid, cid, round(dot, 6) AS centroid_sim FROM nearest",
         "cluster_members": f"WITH {LABELLED} SELECT cid, ord, uid AS idx, uid FROM labelled",
         "cluster_sizes": """
 WITH known AS (SELECT DISTINCT label AS cid FROM embeddings),
@@ -190,14 +196,20 @@ SELECT moved.cid, pos::INT AS pos, round(m / n, 6) AS value FROM moved JOIN size
         "train_subsample": """
 SELECT vec_id AS uid FROM embeddings ORDER BY ('0x' || substr(md5(vec_id || ':1234'), 1, 15))::BIGINT LIMIT 160
 """,
-        "kmeans_fit": kmeans(10, 5, 256, 1234),
+        "kmeans_fit": kmeans(10, 5, 1234, "SELECT vec_id, embedding FROM embeddings"),
+        "kmeans_fit_all": kmeans(4, 4, 1234, KMEANS_ALL),
         "kmeans_assign_saved": f"WITH {NEAREST} SELECT cid, count(*) AS n FROM nearest GROUP BY cid",
         "max_similarity": f"WITH {LABEL_SCORES} SELECT cid, ord, uid, round(sim, 6) AS sim FROM sims",
         "max_similarity_tiles": f"WITH {LABEL_SCORES} SELECT cid, ord, uid, round(sim, 6) AS sim FROM sims",
         "max_similarity_copies": f"""
 WITH tripled AS (SELECT vec_id * 3 + c AS vec_id, label, embedding FROM embeddings CROSS JOIN range(3) r(c)),
 {members("labelled", "tripled", "label")}, {scores("sims", "labelled")}
-SELECT cid, ord, uid, round(sim, 5) AS sim FROM sims
+SELECT cid, ord, uid, round(sim, 6) AS sim FROM sims
+""",
+        "max_similarity_scaled": f"""
+WITH tripled AS (SELECT vec_id + 100000 * c AS vec_id, label, list_transform(embedding, lambda x: (x::DOUBLE * (vec_id % 7))::FLOAT) AS embedding FROM embeddings CROSS JOIN range(3) r(c)),
+{members("labelled", "tripled", "label % 3")}, {scores("sims", "labelled")}
+SELECT cid, ord, uid, round(sim, 6) AS sim FROM sims
 """,
         "similarity_first_n": f"WITH {LABEL_SCORES} SELECT cid, ord, uid, round(sim, 6) AS sim FROM sims WHERE cid < 5",
         "similarity_quantiles": f"""
@@ -273,6 +285,42 @@ SELECT subset, shard, n, coalesce(sum(n) OVER (PARTITION BY subset ORDER BY shar
         "read_matrix": """
 WITH long AS (SELECT vec_id AS idx, unnest(embedding::DOUBLE[]) AS x, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings)
 SELECT idx, pos::INT AS pos, round(x, 6) AS value FROM long
+""",
+        "prune_string_uids": f"""
+WITH {LABEL_SCORES}, {LIMIT}
+SELECT d.doc_id, d.source, d.n_chars FROM documents d JOIN sims s ON s.uid = d.doc_id CROSS JOIN lim WHERE s.sim < lim.t
+""",
+        "prune_flags": f"""
+WITH {LABEL_SCORES}, {LIMIT}
+SELECT d.doc_id, d.source, d.n_chars FROM documents d JOIN sims s ON s.uid = d.doc_id CROSS JOIN lim WHERE s.sim < lim.t
+""",
+        "prune_repeated_uids": f"""
+WITH {LABEL_SCORES}, {LIMIT},
+ranked AS (SELECT 'src' || (uid % 20) AS name, sim, row_number() OVER (PARTITION BY uid % 20 ORDER BY cid DESC, ord DESC, sim DESC) AS place FROM sims)
+SELECT d.doc_id, d.source, d.n_chars FROM documents d JOIN ranked ON name = d.source AND place = 1 CROSS JOIN lim WHERE sim < lim.t
+""",
+        "read_documents_index": """
+SELECT row_number() OVER (ORDER BY doc_id) - 1 AS idx, doc_id, length(text)::INT AS length FROM documents WHERE lang = 'en'
+""",
+        "quantiles_of_copies": f"""
+WITH tripled AS (SELECT vec_id * 3 + c AS vec_id, label, embedding FROM embeddings CROSS JOIN range(3) r(c)),
+{members("labelled", "tripled", "label")}, {scores("sims", "labelled")},
+found AS (SELECT unnest({POINTS}) AS q, unnest(quantile_cont(sim, {POINTS})) AS value FROM sims)
+SELECT q::DOUBLE AS q, round(value, 6) AS value FROM found
+""",
+        "quantiles_of_lengths": f"""
+WITH found AS (SELECT unnest({POINTS}) AS q, unnest(quantile_cont(n_chars::DOUBLE, {POINTS})) AS value FROM documents)
+SELECT q::DOUBLE AS q, round(value, 6) AS value FROM found
+""",
+        "sharded_pipeline": f"""
+WITH {CENTROIDS},
+ranked AS (SELECT e.vec_id, e.embedding, c.cid, row_number() OVER (PARTITION BY e.vec_id ORDER BY list_dot_product(e.embedding::DOUBLE[], c.centroid) DESC, c.cid) AS place
+           FROM embeddings e CROSS JOIN centroids c),
+placed AS (SELECT vec_id % 2 AS shard, cid, vec_id, embedding::DOUBLE[] AS v FROM ranked WHERE place = 1),
+merged AS (SELECT vec_id, row_number() OVER (PARTITION BY cid ORDER BY shard, vec_id) - 1 AS ord FROM placed),
+sims AS (SELECT b.vec_id, b.shard, b.cid, greatest(0, coalesce(max(list_dot_product(a.v, b.v)), 0)) AS sim FROM placed b
+         LEFT JOIN placed a ON a.shard = b.shard AND a.cid = b.cid AND a.vec_id < b.vec_id GROUP BY b.vec_id, b.shard, b.cid)
+SELECT cid, merged.ord, vec_id AS uid, round(sim, 6) AS sim FROM sims JOIN merged USING (vec_id)
 """,
         "merged_quantiles": f"""
 WITH {SHARDED}, sizes AS (SELECT shard, count(DISTINCT uid) AS n FROM sharded GROUP BY shard),
@@ -327,7 +375,7 @@ SELECT shard, n_ids, n_vectors, coalesce(n_ids = n_vectors, false) AS ok FROM a
         "check_shard_kinds": """
 WITH docs AS (SELECT doc_id, source || '-' || lang AS shard FROM documents),
 d AS (SELECT DISTINCT shard FROM docs),
-l AS (SELECT DISTINCT shard FROM docs JOIN labels USING (doc_id) WHERE toxic = 1),
+l AS (SELECT DISTINCT shard FROM docs JOIN labels USING (doc_id)),
 v AS (SELECT DISTINCT shard FROM docs JOIN embeddings ON vec_id = doc_id),
 m AS (SELECT shard, concat_ws(',', CASE WHEN shard NOT IN (SELECT shard FROM l) THEN 'labels' END,
       CASE WHEN shard NOT IN (SELECT shard FROM v) THEN 'vectors' END) AS missing FROM d)

@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from semprune.functions.arrow import list_matrix
+from semprune.operators.positions import position_by_order
+from semprune.session import materialize
 
-# Largest centroid matrix (float64 bytes) sent to every executor; larger ones are joined in blocks.
+# Largest centroid matrix (float64 bytes) sent to every executor; larger ones are sent in blocks.
 BROADCAST_LIMIT = 1 << 30
 # Work block inside a task: vectors x centroids scored by one matrix product.
 ROW_BLOCK = 1024
 CENTROID_BLOCK = 8192
-# Vectors per cell when centroids are joined in blocks.
-CELL_ROWS = 16384
 
 
 def centroid_shape(centroids: DataFrame) -> tuple[int, int]:
@@ -43,6 +43,8 @@ def best_match(x: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.nda
     where = np.zeros(len(x), dtype=np.int64)
     for r in range(0, len(x), ROW_BLOCK):
         rows = x[r : r + ROW_BLOCK]
+        if np.isnan(rows).any():
+            raise ValueError("a vector has a component that is no number")
         for c in range(0, len(centroids), CENTROID_BLOCK):
             sims = rows @ centroids[c : c + CENTROID_BLOCK].T
             arg = sims.argmax(axis=1)
@@ -76,47 +78,45 @@ def _assign_broadcast(vectors: DataFrame, centroids: DataFrame, keep: list[str],
             columns += [pa.array(ids[where], pa.int32()), pa.array(best, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "cid", "centroid_sim"])
 
-    return vectors.select(*keep, "embedding").mapInArrow(score, _result_schema(vectors, keep))
+    return vectors.select(*keep, *([] if "embedding" in keep else ["embedding"])).mapInArrow(score, _result_schema(vectors, keep))
 
 
-def _assign_blocks(
-    vectors: DataFrame, centroids: DataFrame, keep: list[str], k: int, dim: int, limit: int, cell_rows: int
-) -> DataFrame:
-    """Every (cell of vectors, block of centroids) pair is one bounded task; best of the blocks wins."""
+def _assign_passes(vectors: DataFrame, centroids: DataFrame, keep: list[str], k: int, dim: int, limit: int) -> DataFrame:
+    """One pass for each block of centroids, in order of ``cid``, with the best so far as two columns.
+
+    Vectors stay where they are and need no key. Every pass but the last is written, so no
+    executor holds more than one block.
+    """
     per_block = max(1, limit // (8 * dim))
-    n_blocks = -(-k // per_block)
-    n_cells = -(-max(1, vectors.count()) // cell_rows)
-    key = keep[0]
-    cells = vectors.select(
-        *keep,
-        "embedding",
-        F.pmod(F.xxhash64(key), F.lit(n_cells)).cast("int").alias("cell"),
-        F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"),
-    )
-    blocks = centroids.select(
-        F.col("cid").cast("int").alias("cid"),
-        "centroid",
-        F.pmod(F.xxhash64("cid"), F.lit(n_blocks)).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(n_cells - 1))).alias("cell"),
-    )
-    schema = _result_schema(vectors, keep)
-
-    def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = [*keep, "cid", "centroid_sim"]
-        if not left.num_rows or not right.num_rows:
-            empty = [left.column(name).slice(0, 0) for name in keep]
-            return pa.Table.from_arrays([*empty, pa.array([], pa.int32()), pa.array([], pa.float64())], names=names)
-        right = right.sort_by("cid")
-        best, where = best_match(list_matrix(left.column("embedding"), dim), list_matrix(right.column("centroid"), dim))
-        ids = right.column("cid").to_numpy()[where]
-        columns = [left.column(name) for name in keep]
-        return pa.Table.from_arrays([*columns, pa.array(ids, pa.int32()), pa.array(best)], names=names)
-
-    partial = cells.groupBy("cell", "block").cogroup(blocks.groupBy("cell", "block")).applyInArrow(score, schema)
-    winner = F.max(F.struct("centroid_sim", (-F.col("cid")).alias("neg"))).alias("best")
-    return partial.groupBy(*keep).agg(winner).select(
-        *keep, (-F.col("best.neg")).cast("int").alias("cid"), F.col("best.centroid_sim").alias("centroid_sim")
-    )
+    numbered = materialize(position_by_order(centroids.select("cid", "centroid"), [], [F.col("cid")], "place"), "centroids")
+    carried = keep if "embedding" in keep else [*keep, "embedding"]
+    schema = _result_schema(vectors, carried)
+
+    def one_pass(rows: DataFrame, shared: Broadcast) -> DataFrame:
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            ids, matrix = shared.value
+            for batch in batches:
+                best, where = best_match(list_matrix(batch.column("embedding"), dim), matrix)
+                cid, sim = ids[where], best
+                if "cid" in batch.schema.names:
+                    before = batch.column("centroid_sim").to_numpy()
+                    stays = before >= best
+                    cid = np.where(stays, batch.column("cid").to_numpy(), cid)
+                    sim = np.where(stays, before, best)
+                columns = [batch.column(name) for name in carried]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(cid, pa.int32()), pa.array(sim, pa.float64())], names=schema.names)
+
+        return rows.mapInArrow(score, schema)
+
+    rows = vectors.select(*carried)
+    for low in range(0, k, per_block):
+        block = numbered.where(F.col("place").between(low, low + per_block - 1))
+        shared = share_centroids(block, dim)
+        rows = one_pass(rows, shared)
+        if low + per_block < k:
+            rows = materialize(rows, "assigned-so-far")
+            shared.destroy()
+    return rows.select(*keep, "cid", "centroid_sim")
 
 
 def assign_nearest(
@@ -124,14 +124,13 @@ def assign_nearest(
     centroids: DataFrame,
     keep: list[str] | None = None,
     broadcast_limit: int = BROADCAST_LIMIT,
-    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Nearest centroid of every vector: the highest inner product, lowest ``cid`` on ties.
 
-    ``vectors(keep…, embedding)``, ``centroids(cid, centroid)`` -> ``keep…, cid, centroid_sim``;
-    ``keep`` must identify a row. Centroids are broadcast when the matrix is within
-    ``broadcast_limit`` bytes, which leaves the vectors where they are; beyond it both sides
-    are cut into blocks and joined.
+    ``vectors(keep…, embedding)``, ``centroids(cid, centroid)`` -> ``keep…, cid, centroid_sim``, a
+    row for each row whatever ``keep`` holds. Centroids are broadcast, at once when the matrix is
+    within ``broadcast_limit`` bytes, or else block by block; the vectors stay where they are.
+    A component that is no number fails the job.
     """
     results = ("cid", "centroid_sim")
     keep = keep or [c for c in vectors.columns if c not in ("embedding", *results)]
@@ -140,4 +139,4 @@ def assign_nearest(
     k, dim = centroid_shape(centroids)
     if 8 * k * dim <= broadcast_limit:
         return _assign_broadcast(vectors, centroids, keep, dim)
-    return _assign_blocks(vectors, centroids, keep, k, dim, broadcast_limit, cell_rows)
+    return _assign_passes(vectors, centroids, keep, k, dim, broadcast_limit)

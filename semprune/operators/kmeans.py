@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -16,7 +17,7 @@ from semprune.functions.arrow import list_matrix, matrix_list
 from semprune.functions.text import sample_hash
 from semprune.functions.vectors import l2_normalize
 from semprune.operators.assign import BROADCAST_LIMIT, assign_nearest, best_match, centroid_shape, share_centroids
-from semprune.operators.quantiles import hash_cell, values_at
+from semprune.operators.quantiles import values_at
 from semprune.session import materialize
 
 SEED = 1234
@@ -33,14 +34,14 @@ def lowest_hashes(rows: DataFrame, n: int, seed: int, key: str = "idx") -> DataF
     """
     hashed = rows.select(sample_hash(F.col(key), seed).alias("h"))
     ranks = F.array(F.struct(F.lit(0).alias("label"), F.lit(n - 1).cast("long").alias("rank")))
-    found = values_at(hashed, "h", ranks, hash_cell(F.col("_v"))).first()
+    found = values_at(hashed, "h", ranks).first()
     return rows if found is None else rows.where(sample_hash(F.col(key), seed) <= F.lit(found.value))
 
 
 def train_subsample(
     vectors: DataFrame, k: int, max_points_per_centroid: int = MAX_POINTS_PER_CENTROID, seed: int = SEED
 ) -> DataFrame:
-    """At most ``k * max_points_per_centroid`` training rows."""
+    """A sample of at most ``k * max_points_per_centroid`` rows, for those who ask for one: nothing here calls it."""
     return lowest_hashes(vectors, k * max_points_per_centroid, seed)
 
 
@@ -62,35 +63,66 @@ def cluster_means(members: DataFrame) -> DataFrame:
 PARTIAL_SCHEMA = "cid int, n long, total array<double>"
 
 
-def _batch_sums(cids: np.ndarray, matrix: np.ndarray) -> pa.RecordBatch:
-    """Number and vector sum of the rows of every cluster in one batch."""
-    order = np.argsort(cids, kind="stable")
-    first = np.flatnonzero(np.r_[True, np.diff(cids[order]) != 0])
-    totals = np.add.reduceat(matrix[order], first, axis=0)
-    counts = np.diff(np.r_[first, len(cids)])
-    columns = [pa.array(cids[order][first], pa.int32()), pa.array(counts, pa.int64()), matrix_list(totals, pa.float64())]
-    return pa.RecordBatch.from_arrays(columns, names=["cid", "n", "total"])
+# Bytes of sums a task holds before it hands them on.
+SUM_BYTES = 64 << 20
 
 
-def _nearest_sums(sample: DataFrame, centroids: DataFrame, dim: int) -> DataFrame:
+class _Sums:
+    """Numbers and vector sums of the clusters a task has met."""
+
+    def __init__(self, dim: int):
+        self.dim, self.places = dim, {}
+        self.counts, self.totals = np.zeros(0, np.int64), np.zeros((0, dim))
+
+    def add(self, cids: np.ndarray, matrix: np.ndarray) -> None:
+        found, inverse = np.unique(cids, return_inverse=True)
+        places = np.array([self.places.setdefault(int(c), len(self.places)) for c in found])
+        grown = len(self.places) - len(self.counts)
+        if grown > 0:
+            self.counts = np.r_[self.counts, np.zeros(max(grown, len(self.counts)), np.int64)]
+            self.totals = np.r_[self.totals, np.zeros((len(self.counts) - len(self.totals), self.dim))]
+        order = np.argsort(inverse, kind="stable")
+        first = np.flatnonzero(np.r_[True, np.diff(inverse[order]) != 0])
+        self.totals[places] += np.add.reduceat(matrix[order], first, axis=0)
+        self.counts[places] += np.diff(np.r_[first, len(cids)])
+
+    def full(self) -> bool:
+        return self.totals.nbytes > SUM_BYTES
+
+    def batch(self) -> pa.RecordBatch:
+        n = len(self.places)
+        columns = [pa.array(list(self.places), pa.int32()), pa.array(self.counts[:n]), matrix_list(self.totals[:n], pa.float64())]
+        self.__init__(self.dim)
+        return pa.RecordBatch.from_arrays(columns, names=["cid", "n", "total"])
+
+
+def _summed(batches: Iterator[pa.RecordBatch], dim: int, cids_of) -> Iterator[pa.RecordBatch]:
+    """Sums of a task, handed on at its end or when they exceed ``SUM_BYTES``."""
+    sums = _Sums(dim)
+    for batch in batches:
+        if batch.num_rows:
+            x = list_matrix(batch.column("embedding"), dim)
+            sums.add(cids_of(batch, x), x)
+            if sums.full():
+                yield sums.batch()
+    if sums.places:
+        yield sums.batch()
+
+
+def _nearest_sums(sample: DataFrame, centroids: DataFrame, dim: int) -> tuple[DataFrame, Broadcast]:
     """Assign and add up in one pass; only the sums leave the task."""
     shared = share_centroids(centroids, dim)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, matrix = shared.value
-        for batch in batches:
-            if batch.num_rows:
-                x = list_matrix(batch.column("embedding"), dim)
-                yield _batch_sums(ids[best_match(x, matrix)[1]], x)
+        return _summed(batches, dim, lambda batch, x: ids[best_match(x, matrix)[1]])
 
-    return sample.select("embedding").mapInArrow(add, PARTIAL_SCHEMA)
+    return sample.select("embedding").mapInArrow(add, PARTIAL_SCHEMA), shared
 
 
 def _member_sums(assigned: DataFrame, dim: int) -> DataFrame:
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield _batch_sums(batch.column("cid").to_numpy(), list_matrix(batch.column("embedding"), dim))
+        return _summed(batches, dim, lambda batch, x: batch.column("cid").to_numpy())
 
     return assigned.select("cid", "embedding").mapInArrow(add, PARTIAL_SCHEMA)
 
@@ -125,14 +157,16 @@ def _refill_empty(means: DataFrame, centroids: DataFrame) -> DataFrame:
 
 def _moved(sample: DataFrame, centroids: DataFrame, k: int, dim: int, broadcast_limit: int) -> DataFrame:
     """New centroids, written; clusters are refilled only when some are empty."""
+    shared = None
     if 8 * k * dim <= broadcast_limit:
-        partial = _nearest_sums(sample, centroids, dim)
+        partial, shared = _nearest_sums(sample, centroids, dim)
     else:
-        nearest = assign_nearest(sample.select("idx", "embedding"), centroids, ["idx"], broadcast_limit)
-        partial = _member_sums(nearest.join(sample.select("idx", "embedding"), "idx"), dim)
+        partial = _member_sums(assign_nearest(sample, centroids, ["idx", "embedding"], broadcast_limit), dim)
     total = vector_to_array(Summarizer.sum(array_to_vector("total")))
     sums = partial.groupBy("cid").agg(F.sum("n").alias("n"), total.alias("total"))
     means = materialize(sums.select("cid", "n", l2_normalize(F.col("total")).alias("centroid")), "means")
+    if shared:
+        shared.destroy()
     if means.count() == k:
         return means.select("cid", "centroid")
     return materialize(_refill_empty(means, centroids), "centroids")
@@ -144,20 +178,15 @@ def lloyd_step(sample: DataFrame, centroids: DataFrame, broadcast_limit: int = B
 
 
 def fit_kmeans(
-    vectors: DataFrame,
-    k: int,
-    n_iter: int = 40,
-    seed: int = SEED,
-    max_points_per_centroid: int = MAX_POINTS_PER_CENTROID,
-    broadcast_limit: int = BROADCAST_LIMIT,
+    vectors: DataFrame, k: int, n_iter: int = 40, seed: int = SEED, broadcast_limit: int = BROADCAST_LIMIT
 ) -> DataFrame:
-    """``k`` unit-length centroids (cid, centroid) after ``n_iter`` iterations.
+    """``k`` unit-length centroids (cid, centroid) after ``n_iter`` iterations over all rows.
 
-    ``vectors(idx, embedding)``. The training rows are written once; every iteration reads
-    them, and its centroids are written so that an iteration never repeats an earlier one.
+    ``vectors(idx, embedding)``. The rows are written once; every iteration reads them, and its
+    centroids are written so that an iteration never repeats an earlier one. To train on a
+    sample, pass one (``train_subsample``).
     """
-    rows = vectors.select("idx", "embedding")
-    sample = materialize(train_subsample(rows, k, max_points_per_centroid, seed), "train")
+    sample = materialize(vectors.select("idx", "embedding"), "train")
     n = sample.count()
     if n < k:
         raise ValueError(f"{n} training rows for {k} clusters")

@@ -9,9 +9,10 @@ CONFLICT_RULES = ("last", "max", "error")
 
 
 def resolve_duplicates(scores: DataFrame, rule: str = "last") -> DataFrame:
-    """One similarity per uid: ``last`` by (shard, ord), ``max``, or ``error`` on any repeat.
+    """One similarity per uid: ``last`` by (shard, cid, ord), ``max``, or ``error`` on any repeat.
 
-    ``ord`` is the position inside the shard; without it the shard alone decides.
+    ``ord`` is the position inside a cluster of a shard; what is not there does not decide, and
+    among rows at one place the largest value is taken.
     """
     if rule not in CONFLICT_RULES:
         raise ValueError(f"rule must be one of {CONFLICT_RULES}")
@@ -21,8 +22,8 @@ def resolve_duplicates(scores: DataFrame, rule: str = "last") -> DataFrame:
         repeated = F.raise_error(F.concat(F.lit("repeated uid "), F.first("uid").cast("string")))
         value = F.when(F.count("*") > 1, repeated).otherwise(F.max("sim"))
     else:
-        place = F.struct("shard", "ord") if "ord" in scores.columns else F.col("shard")
-        value = F.max_by("sim", place)
+        place = [c for c in ("shard", "cid", "ord") if c in scores.columns]
+        value = F.max_by("sim", F.struct(*place, "sim"))
     return scores.groupBy("uid").agg(value.alias("sim"))
 
 

@@ -9,6 +9,8 @@ from pyspark.sql.window import Window
 from semprune.operators.joins import join_counts
 from semprune.session import materialize
 
+# Keys for each row beyond which keys count as sparse.
+SPARSE = 8
 # Keys per slice: the most rows one task orders at once in ``position_by_key``.
 SLICE_WIDTH = 1 << 18
 
@@ -27,13 +29,21 @@ def position_by_key(
     size_out: str | None = None,
     width: int = SLICE_WIDTH,
 ) -> DataFrame:
-    """0-based position by a unique, roughly dense integer key inside each group.
+    """0-based position by a unique integer key inside each group.
 
-    The key range is cut into slices of ``width`` keys. Rows are numbered inside
+    Dense keys: the key range is cut into slices of ``width`` keys. Rows are numbered inside
     (group, slice), which holds at most ``width`` rows however large the group is, and
-    the sizes of the earlier slices are added. ``size_out`` adds the size of the group.
+    the sizes of the earlier slices are added. Sparse keys, such as hashes, would make a slice
+    of every row; their rows are range-partitioned instead. ``size_out`` adds the size of the group.
     Keep ``df`` narrow: its columns travel through the shuffle.
     """
+    extent = df.agg(F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high")).first()
+    if extent.n and extent.high - extent.low > SPARSE * max(extent.n, width):
+        placed = position_by_order(df, group, [F.col(key)], out)
+        if not size_out:
+            return placed
+        sizes = placed.groupBy(*group).agg((F.max(out) + 1).alias(size_out))
+        return join_counts(placed, sizes, group) if group else placed.withColumn(size_out, F.lit(extent.n))
     sliced = df.withColumn("_slice", F.floor(F.col(key) / width).cast("long"))
     cell = [*group, "_slice"]
     numbered = sliced.withColumn("_local", F.row_number().over(Window.partitionBy(*cell).orderBy(key)) - 1)
@@ -71,14 +81,21 @@ def position_by_order(df: DataFrame, group: list[str], order: list[Column], out:
 
 
 def number_rows(df: DataFrame, out: str = "idx") -> DataFrame:
-    """Contiguous 0-based index in scan order for a source without a usable key.
+    """Contiguous 0-based index by (file path, row in file) for a scan of files in any format.
 
-    The numbered rows are written once: a re-read source could be split differently.
+    Rows leave a split in the order of the file, and splits are ordered by where they begin, so the
+    number does not depend on how files are split. The rows are written once with their place.
     """
-    placed = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    placed = placed.withColumn("_part", F.shiftright("_row", 33))
-    runs = placed.groupBy("_part").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
-    runs = runs.select("_part", "_first", running_before("_n", [], ["_part"]).alias("_before"))
-    return join_counts(placed, runs, ["_part"]).select(
+    placed = df.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    placed = materialize(placed, "numbered")
+    runs = placed.groupBy("_file", "_block").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
+    # One row per split.
+    runs = runs.select("_file", "_block", "_first", running_before("_n", [], ["_file", "_block"]).alias("_before"))
+    return join_counts(placed, runs, ["_file", "_block"]).select(
         (F.col("_row") - F.col("_first") + F.col("_before")).cast("long").alias(out), *df.columns
     )

@@ -12,8 +12,8 @@ from semprune.session import materialize
 # Largest kept-set bitmap (bytes) sent to every executor, and the size of one of its pages.
 BITMAP_LIMIT = 1 << 29
 BITMAP_PAGE = 4096
-# Join slots over which rows without a uid are spread.
-NULL_SLOTS = 64
+# Join slots over which rows without a uid are spread; they meet nothing there.
+NULL_SLOTS = 1 << 20
 
 
 def uid_column(df: DataFrame, uid_key: str | None = None) -> Column:
@@ -62,9 +62,14 @@ def status_column(uid: Column, keep: Column) -> Column:
 
 def _lookup(narrow: DataFrame, keeps: DataFrame) -> DataFrame:
     """Left join by uid in which rows without a uid do not all meet in one task."""
-    slot = F.when(F.col("uid").isNull(), F.pmod(F.col("length"), F.lit(NULL_SLOTS))).otherwise(F.lit(0))
+    slot = F.when(F.col("uid").isNull(), F.pmod(F.xxhash64("row", "length"), F.lit(NULL_SLOTS))).otherwise(F.lit(0))
     left = narrow.withColumn("_slot", slot.cast("int"))
-    return left.join(keeps.withColumn("_slot", F.lit(0)), ["uid", "_slot"], "left").drop("_slot")
+    return left.join(keeps.withColumn("_slot", F.lit(0)), ["uid", "_slot"], "left").drop("_slot", "row")
+
+
+def _row(documents: DataFrame) -> Column:
+    """What tells rows without a uid apart: the index, if there is one."""
+    return (F.col("idx") if "idx" in documents.columns else F.monotonically_increasing_id()).alias("row")
 
 
 def judge(
@@ -80,7 +85,7 @@ def judge(
     """
     source = F.col(source_key) if source_key and source_key in documents.columns else F.lit(None).cast("string")
     narrow = documents.select(
-        uid_column(documents, uid_key).alias("uid"), source.alias("source"), F.length(text_key).alias("length")
+        uid_column(documents, uid_key).alias("uid"), source.alias("source"), F.length(text_key).alias("length"), _row(documents)
     )
     joined = _lookup(narrow, keeps)
     return joined.select("uid", "source", "length", status_column(F.col("uid"), F.col("keep")).alias("status"))
@@ -127,15 +132,26 @@ def _in_bitmap(uids: DataFrame, documents: DataFrame, uid: Column) -> tuple[Data
     return marked, inside
 
 
+def _by_index(uids: DataFrame, documents: DataFrame, uid: Column) -> tuple[DataFrame, Column] | None:
+    """As ``_in_bitmap``, by the index of the documents with such a uid; no text is moved."""
+    if "idx" not in documents.columns:
+        return None
+    narrow = documents.select("idx", uid.alias("_uid")).where(F.col("_uid").isNotNull())
+    wanted = uids.select(F.col("uid").alias("_uid"))
+    inside = materialize(narrow.join(wanted, "_uid", "left_semi").select(F.col("idx").alias("uid")), "kept-index")
+    return _in_bitmap(inside, documents, F.col("idx"))
+
+
 def prune_to_set(documents: DataFrame, kept_uids: DataFrame, uid_key: str | None = None) -> DataFrame:
     """The documents whose uid is in a kept set, with all their columns.
 
     Texts are far larger than the set, so the set goes to the texts where it can: integer
-    uids as a bitmap of one bit each, as long as that stays within ``BITMAP_LIMIT``. Other
-    sets are joined.
+    uids as a bitmap of one bit each, as long as that stays within ``BITMAP_LIMIT``. For other
+    uids, those of the set are looked up beside the dense ``idx`` of the documents, and the
+    bitmap is one of ``idx``. Only without either are the texts joined.
     """
     uid = uid_column(documents, uid_key)
-    found = _in_bitmap(kept_uids, documents, uid)
+    found = _in_bitmap(kept_uids, documents, uid) or _by_index(kept_uids, documents, uid)
     if found is not None:
         return found[0].where(found[1]).select(*documents.columns)
     kept = kept_uids.select(F.col("uid").alias("_uid"))
@@ -151,7 +167,7 @@ def outside_set(documents: DataFrame, kept_uids: DataFrame, uid_key: str | None
     """The documents whose uid is not in a kept set (removed, in set form)."""
     uid = uid_column(documents, uid_key)
     named = documents.where(uid.isNotNull())
-    found = _in_bitmap(kept_uids, named, uid)
+    found = _in_bitmap(kept_uids, named, uid) or _by_index(kept_uids, named, uid)
     if found is not None:
         return found[0].where(~found[1]).select(*documents.columns)
     kept = kept_uids.select(F.col("uid").alias("_uid"))
@@ -160,7 +176,7 @@ def outside_set(documents: DataFrame, kept_uids: DataFrame, uid_key: str | None
 
 def set_totals(documents: DataFrame, kept_uids: DataFrame, uid_key: str | None = None, text_key: str = "text") -> DataFrame:
     """Totals for the set form: a document outside the set is both not found and removed."""
-    narrow = documents.select(uid_column(documents, uid_key).alias("uid"), F.length(text_key).alias("length"))
+    narrow = documents.select(uid_column(documents, uid_key).alias("uid"), F.length(text_key).alias("length"), _row(documents))
     marked = _lookup(narrow, kept_uids.select("uid").distinct().withColumn("keep", F.lit(True)))
     kept, outside = F.col("keep").isNotNull(), F.col("uid").isNotNull() & F.col("keep").isNull()
     return marked.agg(

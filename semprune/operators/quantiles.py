@@ -2,54 +2,80 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import types as T
 
+from semprune.operators.joins import join_counts
 from semprune.operators.positions import running_before
+from semprune.session import materialize
 
 DEFAULT_QUANTILES = [round(0.05 * i, 2) for i in range(1, 20)]
-# Histogram cells per unit of value; scores lie in [0, 1].
+# Cells of a histogram, and most rows of a cell that are put in order.
 CELLS = 1 << 16
+ORDER_ROWS = 1 << 16
 QUANTILE_TOLERANCE = 1e-9
 
 
-def unit_cell(value: Column) -> Column:
-    """Histogram cell of a value; values outside [0, 1] share the two edge cells."""
-    return F.least(F.greatest(F.floor(value * CELLS), F.lit(-1)), F.lit(CELLS)).cast("int")
-
-
-def hash_cell(value: Column) -> Column:
-    """Histogram cell of a 60-bit non-negative hash."""
-    return F.shiftright(value, 44).cast("int")
-
+def _within(rows: DataFrame, targets: DataFrame, group: list[str]) -> DataFrame:
+    """Rows inside a target, with its ``lo``, ``hi``, ``before`` and ``wanted`` as ``t``.
 
-def values_at(
-    values: DataFrame, column: str, ranks: Column, cell: Column, group: list[str] | None = None
-) -> DataFrame:
+    Without a group there are as many targets as ranks at most, and they become literals.
+    """
+    bounds = F.struct("lo", "hi", "before", "wanted")
+    inside = lambda t: (F.col("_v") >= t["lo"]) & (F.col("_v") <= t["hi"])
+    if group:
+        listed = targets.groupBy(*group).agg(F.collect_list(bounds).alias("_targets"))
+        return join_counts(rows, listed, group).select(*group, "_v", F.explode(F.filter("_targets", inside)).alias("t"))
+    kind = T.ArrayType(targets.select(bounds.alias("t")).schema["t"].dataType)
+    found = targets.select(F.to_json(bounds).alias("t")).collect()
+    text = "[" + ",".join(row.t for row in found) + "]"
+    known = F.from_json(F.lit(text), kind)
+    return rows.select("_v", F.explode(F.filter(known, inside)).alias("t"))
+
+
+def values_at(values: DataFrame, column: str, ranks: Column, group: list[str] | None = None) -> DataFrame:
     """Exact values at given 0-based ranks -> (group…, label, value).
 
-    ``cell`` is a histogram cell that grows with the value ``_v``. ``ranks`` is an
-    ARRAY<STRUCT<label, rank BIGINT>> that may use the column ``total``. Equal values are
-    counted first, so a value that fills a third of the table is one row; a histogram of a
-    fixed number of cells finds the cells that hold the ranks, and only those are ordered.
+    ``ranks`` is an ARRAY<STRUCT<label, rank BIGINT>> that may use the column ``total``. A histogram
+    of a fixed number of cells between the lowest and the highest value, counted before any shuffle,
+    finds the cells that hold the ranks. A cell of more than ``ORDER_ROWS`` rows, such as the scores of many copies,
+    gets a histogram of its own, and so on, until a cell is one value or small enough to be put in order.
     """
     group = group or []
-    counts = values.select(*group, F.col(column).alias("_v")).groupBy(*group, "_v").agg(F.count("*").alias("_c"))
-    counts = counts.withColumn("_cell", cell)
-    cells = counts.groupBy(*group, "_cell").agg(F.sum("_c").alias("_n"))
-    total = F.sum("_n").over(Window.partitionBy(*group))
-    before = running_before("_n", group, ["_cell"])
-    cells = cells.select(*group, "_cell", "_n", before.alias("_before"), total.alias("total"))
-
-    def inside(size: str):
-        return lambda r: (r["rank"] >= F.col("_before")) & (r["rank"] < F.col("_before") + F.col(size))
-
-    wanted = cells.select(*group, "_cell", "_before", F.filter(ranks, inside("_n")).alias("_ranks"))
-    near = counts.join(wanted.where(F.size("_ranks") > 0), [*group, "_cell"])
-    near = near.withColumn("_before", F.col("_before") + running_before("_c", [*group, "_cell"], ["_v"]))
-    hits = near.select(*group, F.explode(F.filter("_ranks", inside("_c"))).alias("hit"), F.col("_v").alias("value"))
-    return hits.select(*group, "hit.label", "value")
+    rows = values.select(*group, F.col(column).alias("_v")).where(F.col("_v").isNotNull())
+    extent = rows.groupBy(*group).agg(F.count("*").alias("total"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    targets = extent.where("total > 0").select(*group, "lo", "hi", F.lit(0).cast("long").alias("before"), F.col("total").alias("n"), ranks.alias("wanted"))
+    results: list[DataFrame] = []
+
+    def hits(found: DataFrame, value: str) -> DataFrame:
+        return found.select(*group, F.explode("wanted").alias("hit"), F.col(value).alias("value")).select(*group, "hit.label", "value")
+
+    def holding(before: Column, size: str) -> Column:
+        return F.filter("wanted", lambda r: (r["rank"] >= before) & (r["rank"] < before + F.col(size)))
+
+    while True:
+        targets = materialize(targets, "quantile-cells")
+        results.append(hits(targets.where("lo = hi"), "lo"))
+        small, large = (targets.where(f"lo < hi AND n {test} {ORDER_ROWS}") for test in ("<=", ">"))
+        if small.limit(1).count():
+            counts = _within(rows, small, group).groupBy(*group, F.col("t.lo").alias("lo"), "_v").agg(F.count("*").alias("_c"), F.first("t").alias("t"))
+            placed = counts.withColumn("_before", F.col("t.before") + running_before("_c", [*group, "lo"], ["_v"]))
+            ordered = placed.withColumn("wanted", F.col("t.wanted")).withColumn("wanted", holding(F.col("_before"), "_c"))
+            results.append(hits(ordered, "_v"))
+        if not large.limit(1).count():
+            break
+        cell = F.floor((F.col("_v") - F.col("t.lo")).cast("double") / (F.col("t.hi") - F.col("t.lo")).cast("double") * (CELLS - 1)).cast("int")
+        counted = _within(rows, large, group).select(*group, F.col("t.lo").alias("_of"), "_v", cell.alias("_cell"))
+        cells = counted.groupBy(*group, "_of", "_cell").agg(F.count("*").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+        # One row for each cell: at most CELLS in a window.
+        cells = cells.withColumn("_earlier", running_before("n", [*group, "_of"], ["_cell"]))
+        parents = large.select(*group, F.col("lo").alias("_of"), F.col("before").alias("_start"), "wanted")
+        joined = cells.join(parents, [*group, "_of"]).withColumn("before", F.col("_start") + F.col("_earlier"))
+        targets = joined.select(*group, "lo", "hi", "before", "n", holding(F.col("before"), "n").alias("wanted")).where(F.size("wanted") > 0)
+    return reduce(DataFrame.unionByName, results)
 
 
 def quantiles(
@@ -71,7 +97,7 @@ def quantiles(
         return F.array(rank(False), rank(True))
 
     ranks = F.flatten(F.transform(F.lit(points), around))
-    found = values_at(scores, column, ranks, unit_cell(F.col("_v")), group)
+    found = values_at(scores, column, ranks, group)
     lower, upper = (F.max(F.when(F.col("label.high") == high, F.col("value"))) for high in (False, True))
     bounds = found.groupBy(*group, F.col("label.q").alias("q")).agg(
         lower.alias("lower"), upper.alias("upper"), F.max("label.weight").alias("weight")

@@ -2,7 +2,8 @@
 
 A cluster may hold a large share of all rows, so it is never handled as one group:
 
-* copies of one vector are scored through their first occurrence only;
+* copies of one vector are scored through their first occurrence, and through those
+  distinct vectors between the copies that are nearer to it than it is to itself;
 * the distinct vectors of a cluster are cut into tiles, and one task scores one pair of
   tiles, keeping one maximum per row (never the pairs themselves).
 """
@@ -20,11 +21,12 @@ from semprune.operators.joins import SMALL_ROWS
 from semprune.operators.positions import position_by_key
 from semprune.session import materialize
 
-# Tiles of a cluster. Small clusters are one tile; larger ones get up to TILES_AIM tiles, which
-# is enough pairs to keep many tasks busy; beyond that tiles grow, because a row is sent to as
-# many tasks as its cluster has tiles, until a tile reaches TILE_BYTES of float32 values.
+# Tiles of a cluster. A row is sent to as many tasks as its cluster has tiles, so tiles are as large
+# as TILE_BYTES of float32 values allow. Only a cluster whose pairs are more than a fair share of a
+# task (all pairs / (TASK_SHARES x cores)) is cut finer, into up to TILES_AIM tiles.
 TILE_ROWS = 4096
 TILES_AIM = 32
+TASK_SHARES = 4
 TILE_BYTES = 64 << 20
 # Rows of the two tiles multiplied at once, in double precision.
 QUERY_STRIP = 1024
@@ -34,17 +36,34 @@ HOT_COPIES = 100_000
 HOT_PARTS = 256
 
 
+def _records(sims: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, value) where a column reaches a new highest value, going down; ``best`` is updated."""
+    before = np.maximum.accumulate(np.vstack([best[None, :], sims[:-1]]), axis=0) if len(sims) else sims
+    row, column = np.nonzero(sims > before)
+    np.maximum(best, sims.max(axis=0), out=best)
+    return row, column, sims[row, column]
+
+
 def _tile_scores(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Maximum over earlier rows for one pair of tiles of one cluster."""
+    """Maximum over earlier rows for one pair of tiles of one cluster.
+
+    A row with ``after`` says that the copies of ``pos`` behind that place are at least as near as ``sim``
+    to a vector between; only new highest values, above the vector's own square, are told.
+    """
     cid, first, second = (k.as_py() for k in key)
     place = table.column("pos").to_numpy()
     order = np.argsort(place, kind="stable")
     place = place[order]
     vectors = list_matrix(table.column("embedding"), dtype=np.float32)[order]
+    begins = table.column("ord").to_numpy()[order]
+    copied = table.column("copied").to_numpy(zero_copy_only=False)[order]
     is_query = table.column("tile").to_numpy()[order] == second
-    queries, query_place = vectors[is_query], place[is_query]
-    earlier = vectors if first == second else vectors[~is_query]
+    queries, query_place, query_begin = vectors[is_query], place[is_query], begins[is_query]
+    rest = slice(None) if first == second else ~is_query
+    earlier, earlier_place, copied = vectors[rest], place[rest], copied[rest]
     best = np.zeros(len(queries))
+    own = np.where(copied, np.einsum("ij,ij->i", earlier, earlier, dtype=np.float64), np.inf)
+    told: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for q in range(0, len(queries), QUERY_STRIP):
         strip = queries[q : q + QUERY_STRIP].astype(np.float64)
         top = best[q : q + QUERY_STRIP]
@@ -55,29 +74,45 @@ def _tile_scores(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
             if first == second and e + sims.shape[1] > q:
                 sims[np.arange(e, e + sims.shape[1])[None, :] >= np.arange(q, q + len(strip))[:, None]] = 0.0
             np.maximum(top, sims.max(axis=1), out=top)
+            if copied[e : e + sims.shape[1]].any():
+                row, column, value = _records(sims, own[e : e + sims.shape[1]])
+                told.append((earlier_place[e + column], query_begin[q + row], value))
+    where, after, value = (np.concatenate(x) for x in zip(*told, strict=True)) if told else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
     return pa.table(
-        {"cid": pa.array(np.full(len(best), cid), pa.int32()), "pos": pa.array(query_place, pa.int64()), "sim": pa.array(best)}
+        {
+            "cid": pa.array(np.full(len(best) + len(where), cid), pa.int32()),
+            "pos": pa.array(np.concatenate([query_place, where]), pa.int64()),
+            "sim": pa.array(np.concatenate([best, value])),
+            "after": pa.array([None] * len(best) + after.tolist(), pa.int64()),
+        }
     )
 
 
-def _tile_height(tile_rows: int | None) -> Column:
+def _tile_height(placed: DataFrame, tile_rows: int | None) -> Column:
     if tile_rows:
         return F.lit(tile_rows)
+    pairs = F.col("n_distinct").cast("double") * F.col("n_distinct")
+    total = placed.select("cid", "n_distinct").distinct().agg(F.sum(pairs)).first()[0] or 0.0
+    share = total / (TASK_SHARES * placed.sparkSession.sparkContext.defaultParallelism)
     most = F.greatest(F.lit(1), F.floor(F.lit(TILE_BYTES) / (4 * F.size("embedding"))))
-    return F.least(most, F.greatest(F.lit(TILE_ROWS), F.ceil(F.col("n_distinct") / TILES_AIM)))
+    fine = F.least(most, F.greatest(F.lit(TILE_ROWS), F.ceil(F.col("n_distinct") / TILES_AIM)))
+    return F.when(pairs > share, fine).otherwise(most)
 
 
 def score_distinct(placed: DataFrame, vectors: DataFrame, tile_rows: int | None = None) -> DataFrame:
-    """(cid, idx, pos, n_distinct) with vectors by ``idx`` -> (cid, pos, sim).
+    """(cid, idx, ord, copies, pos, n_distinct) with vectors by ``idx`` -> (cid, pos, sim, nearer).
 
     A row of a cluster with t tiles is sent to the t pairs its tile is part of, and a task
-    holds two tiles whatever the size of the cluster.
+    holds two tiles whatever the size of the cluster. ``nearer`` lists (after, sim) for the copies.
     """
-    rows = placed.select("cid", "idx", "pos", "n_distinct").join(vectors.select("idx", "embedding"), "idx")
-    rows = rows.withColumn("height", _tile_height(tile_rows))
+    narrow = placed.select("cid", "idx", "ord", (F.col("copies") > 1).alias("copied"), "pos", "n_distinct")
+    rows = narrow.join(vectors.select("idx", F.col("embedding").cast("array<float>").alias("embedding")), "idx")
+    rows = rows.withColumn("height", _tile_height(placed, tile_rows))
     tiled = rows.select(
         "cid",
         "pos",
+        "ord",
+        "copied",
         "embedding",
         F.floor(F.col("pos") / F.col("height")).cast("int").alias("tile"),
         F.explode(F.sequence(F.lit(0), F.floor((F.col("n_distinct") - 1) / F.col("height")).cast("int"))).alias("partner"),
@@ -87,11 +122,17 @@ def score_distinct(placed: DataFrame, vectors: DataFrame, tile_rows: int | None
         F.least("tile", "partner").alias("first"),
         F.greatest("tile", "partner").alias("second"),
         "pos",
+        "ord",
+        "copied",
         "tile",
         "embedding",
     )
-    partial = pairs.groupBy("cid", "first", "second").applyInArrow(_tile_scores, "cid int, pos long, sim double")
-    return partial.groupBy("cid", "pos").agg(F.max("sim").alias("sim"))
+    partial = pairs.groupBy("cid", "first", "second").applyInArrow(_tile_scores, "cid int, pos long, sim double, after long")
+    between = F.col("after").isNotNull()
+    return partial.groupBy("cid", "pos").agg(
+        F.max(F.when(~between, F.col("sim"))).alias("sim"),
+        F.collect_list(F.when(between, F.struct("after", "sim"))).alias("nearer"),
+    )
 
 
 def max_similarity(
@@ -103,9 +144,9 @@ def max_similarity(
     """Score of every member: ``max(0, highest inner product with an earlier member)``.
 
     ``members(cid, ord, idx, uid)`` with ``ord`` unique in the cluster, ``vectors(idx,
-    embedding)`` of unit length (or zero) -> ``cid, ord, idx, uid, sim``. The first member
-    of a cluster scores 0. Of a group of copies the first is scored against the other
-    vectors before it; every later copy has its first occurrence as nearest earlier member.
+    embedding)`` -> ``cid, ord, idx, uid, sim``. The first member of a cluster scores 0. Of a
+    group of copies the first is scored against the other vectors before it. A later copy has
+    its score, the square of its own length, and what longer vectors between the copies add.
     """
     high, low = fingerprint(F.col("embedding"))
     traits = vectors.select("idx", high.alias("fp1"), low.alias("fp2"), squared_norm(F.col("embedding")).alias("self_sim"))
@@ -122,7 +163,7 @@ def max_similarity(
     # Vectors with very many copies are split over HOT_PARTS join keys on both sides.
     is_hot = F.col("copies") > hot_copies
     hot = placed.where(is_hot).select(*vector_key, F.lit(True).alias("hot"))
-    scores = scored.select(*vector_key, F.col("ord").alias("first_ord"), "sim", "copies")
+    scores = scored.select(*vector_key, F.col("ord").alias("first_ord"), "sim", "nearer", "copies")
     n_hot = hot.count()
     if n_hot:
         parts = F.sequence(F.lit(0), F.when(is_hot, F.lit(HOT_PARTS - 1)).otherwise(F.lit(0)))
@@ -133,5 +174,6 @@ def max_similarity(
         joined = marked.withColumn("part", part).join(scores, [*vector_key, "part"])
     else:
         joined = narrow.join(scores, vector_key)
-    sim = F.when(F.col("ord") == F.col("first_ord"), F.col("sim")).otherwise(F.greatest("sim", "self_sim"))
+    between = F.array_max(F.transform(F.filter("nearer", lambda x: x["after"] < F.col("ord")), lambda x: x["sim"]))
+    sim = F.when(F.col("ord") == F.col("first_ord"), F.col("sim")).otherwise(F.greatest("sim", "self_sim", between))
     return joined.select("cid", "ord", "idx", "uid", sim.alias("sim"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from semprune.functions.names import keep_name
 from semprune.functions.vectors import is_zero_vector
 from semprune.operators import checks, chunk, clusters, embed, ids, kmeans, merge, prune, quantiles, shards
 from semprune.operators.assign import assign_nearest
@@ -15,6 +16,7 @@ from semprune.operators.positions import position_by_key
 from semprune.operators.similarity import max_similarity
 from semprune.session import materialize
 from semprune.sources import matrix, sinks, tables
+from semprune.sources.paths import children, exists
 
 
 def chunk_job(
@@ -66,18 +68,27 @@ def embed_job(
     return report
 
 
+def _require_numbers(vectors: DataFrame) -> None:
+    """Imported vectors may have any length, but every component must be a number."""
+    checks.require(checks.check_vectors(vectors).withColumn("ok", F.col("n_nan") == 0), "vectors")
+
+
 def merge_embeddings_job(spark: SparkSession, vectors: str, id_maps: str, output: str, delete_inputs: bool = False) -> None:
     """Shard directories of vectors and of ids -> one table with a global index."""
-    paired = tables.pair_shards(tables.read_shards(spark, vectors).drop("uid"), tables.read_shards(spark, id_maps))
+    paired = tables.pair_shards(
+        tables.read_shards(spark, vectors, table="vectors").drop("uid"), tables.read_shards(spark, id_maps, table="ids")
+    )
     shards.merge_shards(paired).select("shard", "idx", "uid", "embedding").write.parquet(output)
+    _require_numbers(spark.read.parquet(output))
     if delete_inputs:
-        sinks.remove_inputs([vectors, id_maps], output)
+        sinks.remove_inputs(spark, [vectors, id_maps], [output])
 
 
 def import_matrix_job(spark: SparkSession, path: str, output: str, dim: int | None = None, n_samples: int | None = None) -> None:
     """Raw float32 matrix file, or folder of them, -> vectors with a global index."""
     rows = shards.merge_shards(matrix.read_matrix(spark, path, n_samples, dim))
     rows.select("shard", "idx", F.col("idx").alias("uid"), "embedding").write.parquet(output)
+    _require_numbers(spark.read.parquet(output))
 
 
 def cluster_job(
@@ -87,7 +98,6 @@ def cluster_job(
     n_centroids: int = 50_000,
     n_iter: int = 40,
     seed: int = kmeans.SEED,
-    max_points_per_centroid: int = kmeans.MAX_POINTS_PER_CENTROID,
     centroids: str | None = None,
     save_centroids: bool = True,
     train_only: bool = False,
@@ -105,7 +115,7 @@ def cluster_job(
         checks.require(checks.check_centroids(fitted), "centroids")
     else:
         trainable = table.where(~is_zero_vector(F.col("embedding")))
-        fitted = kmeans.fit_kmeans(trainable, n_centroids, n_iter, seed, max_points_per_centroid)
+        fitted = kmeans.fit_kmeans(trainable, n_centroids, n_iter, seed)
         if save_centroids:
             sinks.write_centroids(fitted, f"{output}/centroids")
     if train_only:
@@ -120,12 +130,13 @@ def cluster_job(
 
 def merge_clusters_job(spark: SparkSession, members: str, output: str, sizes: str | None = None, delete_inputs: bool = False) -> None:
     """Shard directories of members -> one membership table, cluster by cluster in shard order."""
-    rows = tables.read_shards(spark, members)
-    listed = tables.read_shards(spark, sizes) if sizes else rows
+    rows = tables.read_shards(spark, members, table="members")
+    written = any(exists(spark, f"{d}/sizes") for d in children(spark, members))
+    listed = tables.read_shards(spark, sizes or members, table="sizes") if sizes or written else rows
     checks.require(checks.check_cluster_counts(listed), "numbers of clusters differ")
     shards.merge_member_lists(rows).select("cid", "ord", "shard", "idx", "uid").write.parquet(output)
     if delete_inputs:
-        sinks.remove_inputs([members], output)
+        sinks.remove_inputs(spark, [members], [output])
 
 
 def regroup_job(spark: SparkSession, members: str, vectors: str, output: str, n_clusters: int, n_subsets: int = 200) -> None:
@@ -133,7 +144,7 @@ def regroup_job(spark: SparkSession, members: str, vectors: str, output: str, n_
 
     Order inside a cluster is (shard, ord); members without a vector are skipped.
     """
-    stored = tables.read_shards(spark, vectors)
+    stored = tables.read_shards(spark, vectors, table="vectors")
     listed = spark.read.parquet(members)
     joined = materialize(shards.select_members(listed.select("cid", "ord", "uid"), stored.select("shard", "uid")), "joined")
     checks.require(checks.check_unique(stored, "uid"), "uids in several shards")
@@ -171,19 +182,19 @@ def merge_similarity_job(
     delete_inputs: bool = False,
 ) -> None:
     """Shard directories of scores -> one score per uid and quantiles, exact or merged by shard size."""
-    rows = tables.read_shards(spark, scores)
+    rows = tables.read_shards(spark, scores, table="similarity")
     merge.resolve_duplicates(rows, rule).write.parquet(f"{output}/similarity")
     table = quantiles.quantiles(rows, points) if exact else quantiles.merge_quantiles(quantiles.shard_quantiles(rows, points))
     table.coalesce(1).write.parquet(f"{output}/quantiles")
     if delete_inputs:
-        sinks.remove_inputs([scores], f"{output}/similarity")
+        sinks.remove_inputs(spark, [scores], [f"{output}/similarity", f"{output}/quantiles"])
 
 
 def merge_threshold_job(
     spark: SparkSession, scores: str, output: str, keep: float, exact: bool = True, delete_inputs: bool = False
 ) -> None:
     """Shard directories of scores -> the set of uids below the threshold in any shard, with counts."""
-    rows = tables.read_shards(spark, scores)
+    rows = tables.read_shards(spark, scores, table="similarity")
     table = quantiles.quantiles(rows) if exact else quantiles.merge_quantiles(quantiles.shard_quantiles(rows))
     table = materialize(table.coalesce(1), "quantiles")
     threshold = quantiles.threshold_at(table, keep)
@@ -191,12 +202,17 @@ def merge_threshold_job(
     table.write.parquet(f"{output}/quantiles")
     merge.kept_counts(rows, threshold).coalesce(1).write.json(f"{output}/counts")
     if delete_inputs:
-        sinks.remove_inputs([scores], target)
+        sinks.remove_inputs(spark, [scores], [target, f"{output}/quantiles", f"{output}/counts"])
 
 
 def flags_job(spark: SparkSession, scores: str, output: str, keep: list[float]) -> list[str]:
-    """Scores with quantiles -> one (uid, keep) table per fraction; unknown fractions fail first."""
+    """Scores with quantiles -> one (uid, keep) table per fraction, and the quantiles beside them.
+
+    Unknown fractions fail first. ``prune_job`` takes the output in place of scores.
+    """
     table = spark.read.parquet(f"{scores}/quantiles")
+    quantiles.thresholds_at(table, keep)
+    table.coalesce(1).write.parquet(f"{output}/quantiles")
     flags = prune.keep_flags(spark.read.parquet(f"{scores}/similarity"), table, keep)
     return sinks.write_flags(flags, keep, output)
 
@@ -219,11 +235,14 @@ def prune_job(
     file_format: str = "parquet",
     compression: str | None = None,
     max_records_per_file: int | None = None,
+    rule: str = "last",
+    flags: bool = False,
 ) -> str:
     """Documents and scores -> pruned documents below ``output/split`` and statistics.
 
-    ``scores`` holds ``quantiles`` and ``similarity`` (numbers, text or flags); with ``kept_set``
-    the documents of that set are kept instead.
+    ``scores`` holds ``quantiles`` and ``similarity`` (numbers, text or flags), or with ``flags`` what
+    ``flags_job`` wrote; with ``kept_set`` the documents of that set are kept instead. A uid with
+    several scores has one by ``rule``: ``last`` by (shard, cid, ord), ``max``, or ``error``.
     """
     docs = tables.read_documents(spark, documents, file_format, split, index_key=index_key)
     source = spark.read.format(file_format).load(documents).schema
@@ -232,9 +251,12 @@ def prune_job(
         keeps = uids.withColumn("keep", F.lit(True))
         totals = prune.set_totals(docs, uids, uid_key)
     else:
-        similarity = spark.read.parquet(f"{scores}/similarity")
         threshold = quantiles.threshold_at(spark.read.parquet(f"{scores}/quantiles"), keep)
-        keeps = prune.keep_map(similarity, threshold)
+        if flags:
+            similarity = spark.read.parquet(f"{scores}/{keep_name(keep)}").withColumnRenamed("keep", "sim")
+        else:
+            similarity = spark.read.parquet(f"{scores}/similarity")
+        keeps = materialize(prune.keep_map(merge.resolve_duplicates(similarity, rule), threshold), "keeps")
         totals = None
     target = sinks.write_like(
         prune.prune_documents(docs, keeps, uid_key), output, source, split, file_format, compression, max_records_per_file

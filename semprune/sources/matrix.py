@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from semprune.functions.arrow import list_matrix, matrix_list
+from semprune.sources.paths import qualified
 
 FLOAT_BYTES = 4
 SUFFIX = ".f32"
@@ -42,10 +43,10 @@ def matrix_shape(n_bytes: int, n_samples: int | None, dim: int | None) -> tuple[
 
 
 def open_location(path: str) -> tuple[pafs.FileSystem, str]:
-    """File system and path inside it, for a URI or a plain local path."""
-    if "://" in path or path.startswith("file:"):
-        return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), path
+    """File system and path inside it, for a path with a scheme (see ``paths.qualified``)."""
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = "file://" + path[len("file:") :]
+    return pafs.FileSystem.from_uri(path)
 
 
 @dataclass
@@ -166,7 +167,7 @@ class RawMatrixSource(DataSource):
 def read_matrix(spark: SparkSession, path: str, n_samples: int | None = None, dim: int | None = None) -> DataFrame:
     """(shard, idx, embedding) of a matrix file or of a folder of them; ``idx`` counts per file."""
     spark.dataSource.register(RawMatrixSource)
-    reader = spark.read.format("raw_matrix").option("path", path)
+    reader = spark.read.format("raw_matrix").option("path", qualified(spark, path))
     if n_samples is not None:
         reader = reader.option("n_samples", n_samples)
     if dim is not None:
@@ -178,4 +179,5 @@ def write_matrix(vectors: DataFrame, path: str) -> None:
     """Write (idx, embedding) as matrix files whose name order is the order of ``idx``."""
     vectors.sparkSession.dataSource.register(RawMatrixSource)
     ordered = vectors.select("idx", "embedding").repartitionByRange("idx").sortWithinPartitions("idx")
-    ordered.write.format("raw_matrix").option("path", path).mode("append").save()
+    target = qualified(vectors.sparkSession, path)
+    ordered.write.format("raw_matrix").option("path", target).mode("append").save()

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from semprune.functions.names import keep_name, kept_set_name, subset_label
-from semprune.sources.matrix import open_location
+from semprune.sources.paths import delete, exists, qualified
 
 
 def write_like(
@@ -60,12 +59,6 @@ def write_members(members: DataFrame, path: str) -> None:
     ordered.write.parquet(path)
 
 
-def write_scores(scores: DataFrame, quantile_table: DataFrame, path: str) -> None:
-    """``path/similarity`` and ``path/quantiles``."""
-    scores.write.parquet(f"{path}/similarity")
-    quantile_table.coalesce(1).write.parquet(f"{path}/quantiles")
-
-
 def write_flags(flags: DataFrame, fractions: list[float], path: str) -> list[str]:
     """One (uid, keep) table per fraction, e.g. ``path/keep_0pt8``."""
     targets = []
@@ -88,14 +81,13 @@ def write_statistics(totals: DataFrame, by_source: DataFrame, path: str) -> None
     by_source.coalesce(1).write.json(f"{path}/sources")
 
 
-def remove_inputs(paths: list[str], output: str) -> None:
-    """Delete merged inputs, only once the output has been committed."""
-    fs, target = open_location(output)
-    if fs.get_file_info(f"{target}/_SUCCESS").type == pafs.FileType.NotFound:
-        raise RuntimeError(f"{output} is not committed; inputs kept")
-    for path in paths:
-        fs, source = open_location(path)
-        if fs.get_file_info(source).type == pafs.FileType.Directory:
-            fs.delete_dir(source)
-        else:
-            fs.delete_file(source)
+def remove_inputs(spark: SparkSession, inputs: list[str], outputs: list[str]) -> None:
+    """Delete merged inputs, only once every output has been committed."""
+    sources = [qualified(spark, p).rstrip("/") for p in inputs]
+    for output in outputs:
+        if not exists(spark, f"{output}/_SUCCESS"):
+            raise RuntimeError(f"{output} is not committed; inputs kept")
+        if any(f"{qualified(spark, output)}/".startswith(f"{source}/") for source in sources):
+            raise RuntimeError(f"{output} is below an input; inputs kept")
+    for source in sources:
+        delete(spark, source)

@@ -6,25 +6,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from semprune.operators.checks import check_shard_kinds, check_shards, require
+from semprune.operators.joins import join_counts
 from semprune.operators.positions import number_rows, running_before
-
-# Most files whose row offsets are broadcast to number the rows of a dataset.
-FILES_LIMIT = 1 << 20
+from semprune.sources.paths import children, exists
 
 
 def number_file_rows(df: DataFrame) -> DataFrame | None:
     """Contiguous 0-based ``idx`` of the rows of a parquet scan, by (file path, row in file).
 
-    Only row counts are read beforehand and nothing is shuffled or rewritten. None when a
-    filter has left gaps in the files or there are too many of them.
+    Only row counts are read beforehand and nothing is rewritten. None when a filter has left
+    gaps in the files.
     """
     placed = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     files = placed.groupBy("_file").agg(F.count("*").alias("_n"), (F.max("_row") + 1).alias("_end"))
-    extent = files.agg(F.count("*").alias("files"), F.count_if(F.col("_n") != F.col("_end")).alias("gaps")).first()
-    if extent.gaps or extent.files > FILES_LIMIT:
+    if files.where(F.col("_n") != F.col("_end")).limit(1).count():
         return None
     starts = files.select("_file", running_before("_n", [], ["_file"]).alias("_start"))
-    return placed.join(F.broadcast(starts), "_file").select((F.col("_start") + F.col("_row")).alias("idx"), *df.columns)
+    return join_counts(placed, starts, ["_file"]).select((F.col("_start") + F.col("_row")).alias("idx"), *df.columns)
 
 
 def read_documents(
@@ -35,7 +33,8 @@ def read_documents(
     split_key: str = "split",
     index_key: str | None = None,
 ) -> DataFrame:
-    """Document dataset with a stable ``idx``: the column ``index_key``, or else the position.
+    """Document dataset with a stable ``idx``: the column ``index_key``, or else the position,
+    counted by (file path, row in file) over the rows of the split, in every format.
 
     ``split`` selects one partition directory (or value) of ``split_key``.
     """
@@ -60,10 +59,23 @@ def shard_of_directory() -> Column:
     return F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
 
 
-def read_shards(spark: SparkSession, path: str, file_format: str = "parquet", by: str = "directory") -> DataFrame:
-    """All files below ``path``, with the shard every row comes from as column ``shard``."""
-    shard = {"directory": shard_of_directory, "file": shard_of_file}[by]()
-    df = spark.read.format(file_format).option("recursiveFileLookup", True).load(path)
+def read_shards(
+    spark: SparkSession, path: str, file_format: str = "parquet", by: str = "directory", table: str | None = None
+) -> DataFrame:
+    """All files below ``path``, with the shard every row comes from as column ``shard``.
+
+    With ``table``, the shards are the directories directly below ``path`` that have a directory
+    of this name, as the jobs write them, and only these tables are read. Where there is none, the
+    files lie in the shard directories themselves.
+    """
+    found = [d for d in children(spark, path) if exists(spark, f"{d}/{table}")] if table else []
+    reader = spark.read.format(file_format).option("recursiveFileLookup", True)
+    if found:
+        df = reader.load([f"{d}/{table}" for d in found])
+        shard = F.regexp_extract(F.col("_metadata.file_path"), rf"([^/]+)/{table}/[^/]+$", 1)
+    else:
+        df = reader.load(path)
+        shard = {"directory": shard_of_directory, "file": shard_of_file}[by]()
     return df.select(*[c for c in df.columns if c != "shard"], shard.alias("shard"))
 
 

@@ -80,6 +80,29 @@ def test_flags_and_flag_pruning(spark, work):
     threshold = spark.read.parquet(f"{work}/scores/quantiles").where("q = 0.8").first().value
     assert collected(kept, "uid") == collected(scores.where(F.col("sim") < threshold), "uid")
     assert spark.read.parquet(f"{work}/flags/keep_0pt5").count() == 500
+    by_flags = jobs.prune_job(
+        spark, f"{SF}/documents.parquet", f"{work}/flags", f"{work}/pruned-by-flags", 0.8, uid_key="doc_id", index_key="doc_id", flags=True
+    )
+    by_scores = jobs.prune_job(
+        spark, f"{SF}/documents.parquet", f"{work}/scores", f"{work}/pruned-by-scores", 0.8, uid_key="doc_id", index_key="doc_id"
+    )
+    assert collected(spark.read.parquet(by_flags), "doc_id") == collected(spark.read.parquet(by_scores), "doc_id")
+
+
+@pytest.mark.parametrize("rule, kept", [("last", 0), ("max", 0), ("error", None)])
+def test_repeated_uids_have_one_value(spark, tmp_path, rule, kept):
+    root = str(tmp_path)
+    spark.createDataFrame([(1, 0, 7, 0.9), (0, 5, 7, 0.1)], "cid int, ord long, uid long, sim double").write.parquet(f"{root}/s/similarity")
+    spark.createDataFrame([(0.8, 0.5)], "q double, value double").write.parquet(f"{root}/s/quantiles")
+    spark.createDataFrame([(7, "a text", "src")], "uid long, text string, source string").write.parquet(f"{root}/docs")
+    run = lambda: jobs.prune_job(spark, f"{root}/docs", f"{root}/s", f"{root}/out", 0.8, uid_key="uid", rule=rule)
+    if kept is None:
+        with pytest.raises(Exception, match="repeated uid"):
+            run()
+        return
+    assert spark.read.parquet(run()).count() == kept
+    totals = spark.read.json(f"{root}/out/statistics/totals").first()
+    assert (totals.found, totals.removed) == (1, 1 - kept)
 
 
 @pytest.mark.parametrize("exact", [True, False])

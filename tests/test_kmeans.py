@@ -25,11 +25,11 @@ def fit(spark, v, **options):
     return vectors, kmeans.fit_kmeans(vectors, **options)
 
 
-@pytest.mark.parametrize("limit,cell", [(1 << 30, 10), (8 * 12 * 2, 50)])
-def test_assignment_equals_argmax(spark, blobs, limit, cell):
+@pytest.mark.parametrize("limit", [1 << 30, 8 * 12 * 2])
+def test_assignment_equals_argmax(spark, blobs, limit):
     centroids = random_unit(np.random.default_rng(8), 9, 12)
     vectors = vectors_of(spark, [(i, 0, x) for i, x in enumerate(blobs)]).drop("cid", "uid")
-    found = assign_nearest(vectors, centroid_table(spark, centroids), broadcast_limit=limit, cell_rows=cell)
+    found = assign_nearest(vectors, centroid_table(spark, centroids), broadcast_limit=limit)
     sims = blobs.astype(np.float64) @ centroids.T.astype(np.float64)
     rows = collected(found, "idx", "cid", "centroid_sim")
     assert [r[1] for r in rows] == sims.argmax(axis=1).tolist()
@@ -43,6 +43,31 @@ def test_ties_go_to_the_lowest_id(spark, limit):
     assert assign_nearest(vectors, centroids, broadcast_limit=limit).first().cid == 1
 
 
+@pytest.mark.parametrize("limit", [1 << 30, 8 * 2])
+def test_every_row_is_assigned_whatever_is_kept(spark, limit):
+    vectors = vectors_of(spark, [(0, 0, (1, 0)), (1, 0, (1, 0)), (2, 0, (0, 1))]).select(F.lit("same").alias("name"), "embedding")
+    centroids = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], "cid int, centroid array<float>")
+    assert collected(assign_nearest(vectors, centroids, ["name"], limit), "name", "cid") == [("same", 0), ("same", 0), ("same", 1)]
+
+
+def test_no_number_is_rejected(spark):
+    vectors = vectors_of(spark, [(0, 0, (1, float("nan")))])
+    centroids = spark.createDataFrame([(0, [1.0, 0.0])], "cid int, centroid array<float>")
+    with pytest.raises(Exception, match="no number"):
+        assign_nearest(vectors.select("idx", "embedding"), centroids).collect()
+
+
+def test_training_takes_all_rows(spark):
+    v = random_unit(np.random.default_rng(5), 1500, 3)
+    v[-1] = (0, 0, 1)
+    vectors, fitted = fit(spark, v, k=2, n_iter=1)
+    start = kmeans.initial_centroids(vectors.select("idx", "embedding"), 2, kmeans.SEED).orderBy("cid").collect()
+    labels = (v.astype(np.float64) @ np.array([r.centroid for r in start]).T).argmax(1)
+    means = np.array([v[labels == k].astype(np.float64).sum(0) for k in range(2)])
+    means /= np.linalg.norm(means, axis=1, keepdims=True)
+    assert np.array([r.centroid for r in fitted.orderBy("cid").collect()]) == pytest.approx(means, abs=1e-6)
+
+
 def test_bad_inputs_are_rejected(spark):
     vectors = vectors_of(spark, [(0, 0, (1, 0))])
     mixed = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0])], "cid int, centroid array<float>")

@@ -33,6 +33,24 @@ def test_all_values_in_one_cell(spark):
         assert value == pytest.approx(np.quantile(values, q), abs=1e-15)
 
 
+@pytest.mark.parametrize("group", [None, ["g"]])
+def test_crowded_cells_are_refined(spark, monkeypatch, group):
+    """Copies score within rounding of 1, and values lie far outside [0, 1]."""
+    monkeypatch.setattr(quantiles, "ORDER_ROWS", 20)
+    monkeypatch.setattr(quantiles, "CELLS", 16)
+    rng = np.random.default_rng(4)
+    values = np.concatenate([1 + rng.normal(size=300) * 1e-7, rng.random(100), [-1e9, 1e9], np.full(150, 0.25)])
+    scores = table(spark, values).withColumn("g", F.lit("a"))
+    points = [0.0, 0.01, 0.3, 0.5, 0.77, 0.99, 1.0]
+    found = {r.q: r.value for r in quantiles.quantiles(scores, points, group=group).collect()}
+    for q in points:
+        assert found[q] == pytest.approx(np.quantile(values, q), rel=1e-14)
+
+
+def test_no_scores(spark):
+    assert quantiles.quantiles(table(spark, []).where("false")).count() == 0
+
+
 def test_per_shard(spark):
     scores = table(spark, np.linspace(0, 1, 30)).withColumn("shard", F.when(F.col("uid") < 20, "a").otherwise("b"))
     found = {(r.shard, r.q): (r.n, r.value) for r in quantiles.shard_quantiles(scores, [0.5]).collect()}

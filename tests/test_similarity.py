@@ -23,6 +23,20 @@ def test_first_copy_survives(spark):
     assert scored(spark, [(0, 0, (1, 0)), (1, 0, (1, 0))]) == {0: 0.0, 1: 1.0}
 
 
+def test_later_copy_is_compared_with_longer_vectors_between(spark):
+    assert scored(spark, [(0, 0, (1, 0)), (1, 0, (3, 0)), (2, 0, (1, 0)), (3, 0, (2, 0)), (4, 0, (1, 0))]) == {0: 0, 1: 3, 2: 3, 3: 6, 4: 3}
+
+
+@pytest.mark.parametrize("tile_rows,hot_copies", [(None, 100_000), (5, 100_000), (16, 3)])
+def test_vectors_of_any_length_equal_brute_force(spark, tile_rows, hot_copies):
+    rng = np.random.default_rng(9)
+    v = (random_unit(rng, 200, 4) * rng.integers(0, 5, (200, 1))).astype(np.float32)
+    v[rng.choice(200, 120)] = v[rng.integers(0, 12, 120)]
+    cids = rng.integers(0, 2, 200)
+    sims = scored(spark, zip(range(200), cids, v), tile_rows=tile_rows, hot_copies=hot_copies)
+    np.testing.assert_allclose([sims[i] for i in range(200)], brute_scores(cids, v), rtol=1e-12, atol=1e-12)
+
+
 def test_singleton_and_separate_clusters(spark):
     assert scored(spark, [(0, 0, (1, 0)), (1, 3, (1, 0))]) == {0: 0.0, 1: 0.0}
 
@@ -47,7 +61,7 @@ def test_equals_brute_force(spark, skewed, tile_rows, hot_copies):
     cids, v = skewed
     sims = scored(spark, zip(range(len(v)), cids, v), tile_rows=tile_rows, hot_copies=hot_copies)
     assert len(sims) == len(v)
-    np.testing.assert_allclose([sims[i] for i in range(len(v))], brute_scores(cids, v), atol=5e-7)
+    np.testing.assert_allclose([sims[i] for i in range(len(v))], brute_scores(cids, v), atol=1e-12)
 
 
 def test_tiles_grow_with_the_cluster(spark, skewed, monkeypatch):
@@ -57,7 +71,7 @@ def test_tiles_grow_with_the_cluster(spark, skewed, monkeypatch):
     for most in (64 << 20, 10 * 4 * 8):
         monkeypatch.setattr(similarity, "TILE_BYTES", most)
         sims = scored(spark, zip(range(len(v)), cids, v))
-        np.testing.assert_allclose([sims[i] for i in range(len(v))], brute_scores(cids, v), atol=5e-7)
+        np.testing.assert_allclose([sims[i] for i in range(len(v))], brute_scores(cids, v), atol=1e-12)
 
 
 def test_bounds_and_first_of_cluster(spark, skewed):
@@ -73,7 +87,7 @@ def test_independent_of_partitioning(spark, skewed):
     vectors = vectors_of(spark, zip(range(len(v)), cids, v))
     one = max_similarity(order_members(vectors.coalesce(1)), vectors.coalesce(1))
     many = max_similarity(order_members(vectors.repartition(13)), vectors.repartition(11), tile_rows=20)
-    assert np.allclose([r[1] for r in collected(one, "uid", "sim")], [r[1] for r in collected(many, "uid", "sim")], atol=5e-7)
+    assert np.allclose([r[1] for r in collected(one, "uid", "sim")], [r[1] for r in collected(many, "uid", "sim")], atol=1e-12)
 
 
 def test_first_clusters(spark):

@@ -116,10 +116,15 @@ def test_names(spark):
 def test_inputs_are_removed_only_after_commit(spark, tmp_path):
     (tmp_path / "in").mkdir()
     with pytest.raises(RuntimeError):
-        sinks.remove_inputs([str(tmp_path / "in")], str(tmp_path / "out"))
+        sinks.remove_inputs(spark, [str(tmp_path / "in")], [str(tmp_path / "out")])
     assert (tmp_path / "in").exists()
     spark.range(3).write.parquet(str(tmp_path / "out"))
-    sinks.remove_inputs([str(tmp_path / "in")], str(tmp_path / "out"))
+    spark.range(3).write.parquet(str(tmp_path / "in" / "below"))
+    for outputs in (["out", "missing"], ["out", "in/below"]):
+        with pytest.raises(RuntimeError):
+            sinks.remove_inputs(spark, [str(tmp_path / "in")], [str(tmp_path / o) for o in outputs])
+    assert (tmp_path / "in").exists()
+    sinks.remove_inputs(spark, [str(tmp_path / "in")], [str(tmp_path / "out")])
     assert not (tmp_path / "in").exists()
 
 
