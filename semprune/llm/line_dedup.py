@@ -26,20 +26,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from semprune.llm.common import broadcast_if_small, clean_text
+from semprune.llm.word_hashes import mixed, word_hashes
 from semprune.session import materialize
 
 MIN_WORDS = 8
 BUCKET_BITS = 20
 SLICES = 64
 #: Partners of a class that a word proposes by round: from, up to.
-ROUNDS = ((0, 2), (2, 32), (32, 1 << 62))
-KEPT_WORDS = 300_000
+ROUNDS = ((0, 1), (1, 32), (32, 1 << 62))
 KEPT_LINES = 300_000
-WORDS_AT_ONCE = 1_000_000
+BYTES_AT_ONCE = 1_000_000
 PAIRS_AT_ONCE = 2_000_000
 WIDEST = 65535
 
-LINES = "doc_id long, doc_hash long, line int, k1 long, k2 long, prefix array<long>"
+LINES = "doc_id long, doc_hash long, line int, k1 long, k2 long, k3 long, prefix array<long>"
 PAIRS = "i long, j long"
 
 
@@ -50,25 +50,27 @@ def document_key() -> list[Column]:
 # --- rarity ----------------------------------------------------------------------------------
 
 
-class _Hashes(dict):
-    """Word -> 64-bit hash; keeps a bounded number of words."""
-
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh64_intdigest
-
-        value = xxh64_intdigest(word)
-        if len(self) < KEPT_WORDS:
-            self[word] = value
-        return value
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], list[bytes]]]:
+    """(keys of documents, their texts), about a megabyte at a time."""
+    keys, texts, size = [], [], 0
+    for batch in batches:
+        *names, text = batch.columns
+        for key, value in zip(zip(*[n.to_pylist() for n in names], strict=True) if names else [()] * len(text), text, strict=True):
+            keys.append(key)
+            texts.append((value.as_py() or "").encode())
+            size += len(texts[-1])
+            if size >= BYTES_AT_ONCE:
+                yield keys, texts
+                keys, texts, size = [], [], 0
+    if keys:
+        yield keys, texts
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes, counts = _Hashes(), np.zeros(1 << BUCKET_BITS, np.int64)
-    for batch in batches:
-        for text in batch.column(0):
-            words = (text.as_py() or "").encode().lower().split()
-            values = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-            np.add.at(counts, (values >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), 1)
+    counts = np.zeros(1 << BUCKET_BITS, np.int64)
+    for _, texts in _chunks(batches):
+        words, _ = word_hashes(b"\n".join(texts))
+        counts += np.bincount((words >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=1 << BUCKET_BITS)
     parts = counts.reshape(SLICES, -1)
     yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["slice", "counts"])
 
@@ -98,63 +100,70 @@ def prefix_length(n):
     return n - (4 * n + 4) // 5 + 1
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+def _by_line(key: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """Order by (line, key); the first bits of both decide unless different words share them."""
+    short = (line.astype(np.uint64) << np.uint64(44)) | (key >> np.uint64(20))
+    order = np.argsort(short)
+    key, short = key[order], short[order]
+    unsure = (short[1:] == short[:-1]) & (key[1:] != key[:-1])
+    return np.lexsort((key[np.argsort(order)], line)) if unsure.any() or (len(line) and line[-1] >> 20) else order
 
 
-def _line_rows(meta: list[tuple], sizes: list[int], flat: list[int], places: np.ndarray, seen: set) -> pa.RecordBatch:
-    """Rows for lines whose word hashes stand behind each other in ``flat``."""
-    size = np.array(sizes, np.int64)
-    start = np.cumsum(size) - size
-    value = np.array(flat, np.uint64)
+def _line_rows(keys: list[tuple], texts: list[bytes], places: np.ndarray, seen: set) -> pa.RecordBatch:
+    data = b"\n".join(texts)
+    value, begin = word_hashes(data)
+    ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
     low = np.uint64(64 - BUCKET_BITS)
     key = (places[(value >> low).astype(np.int64)].astype(np.uint64) << low) | (value & np.uint64((1 << (64 - BUCKET_BITS)) - 1))
+    line = np.searchsorted(ends, begin)
+    order = _by_line(key, line)
+    key, line = key[order], line[order]
+    fresh = np.ones(len(key), bool)
+    fresh[1:] = (key[1:] != key[:-1]) | (line[1:] != line[:-1])
+    key, line = key[fresh], line[fresh]
+    # only lines with enough words, numbered anew
+    counts = np.bincount(line, minlength=len(ends) + 1)
+    judged = np.flatnonzero(counts >= MIN_WORDS)
+    kept = counts[line] >= MIN_WORDS
+    key, size = key[kept], counts[judged]
+    start = np.cumsum(size) - size
     line = np.repeat(np.arange(len(size)), size)
-    key = key[np.lexsort((key, line))]
-    mixed = _mixed(key)
-    k1 = np.add.reduceat(mixed, start)
-    k2 = np.bitwise_xor.reduceat(np.uint64(1) << (mixed & np.uint64(63)), start)
-    fresh = np.zeros(len(size), bool)
+    word = mixed(key)
+    # a bitmap of 128 bits, of which each word turns one
+    turned, half = np.uint64(1) << (word & np.uint64(63)), (word >> np.uint64(6) & np.uint64(1)) == 1
+    bit = lambda mine: np.bitwise_xor.reduceat(np.where(mine, turned, np.uint64(0)), start) if len(start) else np.zeros(0, np.uint64)
+    k1 = np.add.reduceat(word, start) if len(start) else np.zeros(0, np.uint64)
+    k2, k3 = bit(half), bit(~half)
+    new = np.zeros(len(size), bool)
     for i, name in enumerate(zip(k1.tolist(), k2.tolist(), strict=True)):
         if name not in seen:
-            fresh[i] = True
+            new[i] = True
             if len(seen) < KEPT_LINES:
                 seen.add(name)
     at = np.arange(len(key)) - start[line]
-    chosen = (at < prefix_length(size)[line]) & fresh[line]
-    word = mixed[chosen] >> np.uint64(32) << np.uint64(32)
+    chosen = (at < prefix_length(size)[line]) & new[line]
+    name = word[chosen] >> np.uint64(32) << np.uint64(32)
     width = np.minimum(size[line[chosen]], WIDEST).astype(np.uint64) << np.uint64(16)
-    packed = (word | width | np.minimum(at[chosen], WIDEST).astype(np.uint64)).view(np.int64)
-    counts = np.where(fresh, prefix_length(size), 0)
-    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-    prefix = pa.ListArray.from_arrays(pa.array(offsets), pa.array(packed), mask=pa.array(~fresh))
-    doc_id, doc_hash, number = zip(*meta, strict=True)
-    columns = [pa.array(doc_id, pa.int64()), pa.array(doc_hash, pa.int64()), pa.array(number, pa.int32()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), prefix]
-    return pa.RecordBatch.from_arrays(columns, ["doc_id", "doc_hash", "line", "k1", "k2", "prefix"])
+    packed = (name | width | np.minimum(at[chosen], WIDEST).astype(np.uint64)).view(np.int64)
+    offsets = np.concatenate([[0], np.cumsum(np.where(new, prefix_length(size), 0))]).astype(np.int32)
+    prefix = pa.ListArray.from_arrays(pa.array(offsets), pa.array(packed), mask=pa.array(~new))
+    # line numbers count from the first line of their document
+    lines_of = np.array([t.count(b"\n") + 1 for t in texts])
+    first = np.cumsum(lines_of) - lines_of
+    doc = np.searchsorted(first, judged, "right") - 1
+    column = lambda k: pa.array([keys[d][k] for d in doc.tolist()], pa.int64())
+    bits = [pa.array(x.view(np.int64)) for x in (k1, k2, k3)]
+    return pa.RecordBatch.from_arrays([column(0), column(1), pa.array((judged - first[doc]).astype(np.int32)), *bits, prefix], ["doc_id", "doc_hash", "line", "k1", "k2", "k3", "prefix"])
 
 
 def _lines(batches: Iterator[pa.RecordBatch], places) -> Iterator[pa.RecordBatch]:
-    hashes, seen = _Hashes(), set()
-    meta, sizes, flat = [], [], []
-    for batch in batches:
-        for doc_id, doc_hash, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-            for number, line in enumerate((text.as_py() or "").encode().lower().split(b"\n")):
-                words = set(line.split())
-                if len(words) >= MIN_WORDS:
-                    meta.append((doc_id, doc_hash, number))
-                    sizes.append(len(words))
-                    flat.extend(map(hashes.__getitem__, words))
-            if len(flat) >= WORDS_AT_ONCE:
-                yield _line_rows(meta, sizes, flat, places.value, seen)
-                meta, sizes, flat = [], [], []
-    if meta:
-        yield _line_rows(meta, sizes, flat, places.value, seen)
+    seen: set[tuple[int, int]] = set()
+    for keys, texts in _chunks(batches):
+        yield _line_rows(keys, texts, places.value, seen)
 
 
 def judged_lines(docs: DataFrame, places: np.ndarray) -> DataFrame:
-    """(doc_id, doc_hash, line, k1, k2, prefix) of each judged line; (k1, k2) names its set.
+    """(doc_id, doc_hash, line, k1, k2, k3, prefix) of each judged line; (k1, k2, k3) names its set, k2 and k3 are its bitmap.
 
     The prefix, (word, size, position) in a number each, is there once at least for each set.
     """
@@ -164,25 +173,26 @@ def judged_lines(docs: DataFrame, places: np.ndarray) -> DataFrame:
 
 
 def line_classes(lines: DataFrame) -> DataFrame:
-    """(cid, doc_id, doc_hash, line, k2, prefix) of each different set; ``cid`` ascends with the first line."""
+    """(cid, doc_id, doc_hash, line, k2, k3, prefix) of each different set; ``cid`` ascends with the first line."""
     first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "doc_hash", "line")
-    classes = lines.groupBy("k1", "k2").agg(F.min(first).alias("first"), F.max("prefix").alias("prefix"))
+    classes = lines.groupBy("k1", "k2", "k3").agg(F.min(first).alias("first"), F.max("prefix").alias("prefix"))
     numbered = classes.orderBy("first").withColumn("cid", F.monotonically_increasing_id())
-    return numbered.select("cid", "first.doc_id", "first.doc_hash", "first.line", "k2", "prefix")
+    return numbered.select("cid", "first.doc_id", "first.doc_hash", "first.line", "k2", "k3", "prefix")
 
 
 # --- candidates ------------------------------------------------------------------------------
 
 
-def _possible(i, j, size, at, bits) -> np.ndarray:
-    """Pairs that length, position of the shared word and word bitmaps do not rule out."""
+def _likely(i: np.ndarray, j: np.ndarray, size: np.ndarray, at: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Pairs of lines that the place of the shared word and the word bitmaps do not rule out."""
     a, b = size[i], size[j]
     needed = (4 * (a + b) + 8) // 9
-    length = 4 * np.maximum(a, b) <= 5 * np.minimum(a, b)
+    wide = np.maximum(a, b) == WIDEST
     # the shared word is the first one for one of the words that bring a similar pair together
-    position = np.minimum(a - at[i], b - at[j]) >= needed
-    bitmap = np.bitwise_count(bits[i] ^ bits[j]) <= a + b - 2 * needed
-    return (length & position & bitmap) | (a == WIDEST) | (b == WIDEST)
+    left = np.flatnonzero((np.minimum(a - at[i], b - at[j]) >= needed) | wide)
+    i, j = i[left], j[left]
+    apart = np.bitwise_count(bits[0][i] ^ bits[0][j]).astype(np.int32) + np.bitwise_count(bits[1][i] ^ bits[1][j])
+    return left[(apart <= (a + b - 2 * needed)[left]) | wide[left]]
 
 
 def _propose(batches: Iterator[pa.RecordBatch], begin: int, end: int) -> Iterator[pa.RecordBatch]:
@@ -191,36 +201,53 @@ def _propose(batches: Iterator[pa.RecordBatch], begin: int, end: int) -> Iterato
         return
     table = pa.Table.from_batches(tables)
     packed = table.column("packed").to_numpy().view(np.uint64)
-    cid, bits = table.column("cid").to_numpy(), table.column("bits").to_numpy().view(np.uint64)
-    asks = table.column("open").to_numpy(zero_copy_only=False)
+    # by word, then by size: only lines of similar size are paired
+    order = np.argsort(packed >> np.uint64(16), kind="stable")
+    packed = packed[order]
     word = packed >> np.uint64(32)
-    order = np.lexsort((cid, word))
-    packed, word, cid, bits, asks = packed[order], word[order], cid[order], bits[order], asks[order]
-    size = (packed >> np.uint64(16) & np.uint64(WIDEST)).astype(np.int64)
-    at = (packed & np.uint64(WIDEST)).astype(np.int64)
-    first = np.maximum.accumulate(np.where(np.concatenate([[True], word[1:] != word[:-1]]), np.arange(len(word)), 0))
-    earlier = np.where(asks, np.arange(len(word)) - first, 0)
-    total = np.cumsum(earlier)
+    cid, asks = table.column("cid").to_numpy()[order], table.column("open").to_numpy(zero_copy_only=False)[order]
+    bits = [table.column(k).to_numpy().view(np.uint64)[order] for k in ("k2", "k3")]
+    size = (packed >> np.uint64(16) & np.uint64(WIDEST)).astype(np.int32)
+    at = (packed & np.uint64(WIDEST)).astype(np.int32)
+    least = np.where(size == WIDEST, 0, (4 * size + 4) // 5).astype(np.uint64)
+    first = np.searchsorted(packed >> np.uint64(16), (word << np.uint64(16)) | least)
+    total = np.cumsum(np.arange(len(word)) - first)
+    found_i, found_j = [], []
     low = 0
     while low < len(word):
         base = total[low - 1] if low else 0
         high = max(low + 1, int(np.searchsorted(total, base + PAIRS_AT_ONCE, "right")))
-        n = earlier[low:high]
-        j = np.repeat(np.arange(low, high), n)
-        i = first[j] + np.arange(len(j)) - np.repeat(np.cumsum(n) - n, n)
-        likely = _possible(i, j, size, at, bits) & (cid[i] != cid[j])
-        i, j = i[likely], j[likely]
-        rank = np.arange(len(j)) - np.searchsorted(j, j, "left")
-        wanted = (rank >= begin) & (rank < end)
-        more = np.unique(j[rank >= end])
-        pairs = np.unique(np.stack([np.concatenate([cid[i[wanted]], np.full(len(more), -1)]), np.concatenate([cid[j[wanted]], cid[more]])]), axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["i", "j"])
+        n = np.arange(low, high) - first[low:high]
+        b = np.repeat(np.arange(low, high, dtype=np.int32), n)
+        a = (np.arange(len(b)) + np.repeat(first[low:high] - (np.cumsum(n) - n), n)).astype(np.int32)
+        some = _likely(a, b, size, at, bits)
+        a, b = a[some], b[some]
+        later = np.where(cid[a] > cid[b], a, b)
+        some = asks[later] & (cid[a] != cid[b])
+        found_j.append(later[some])
+        found_i.append((a + b - later)[some])
         low = high
+    i, j = np.concatenate(found_i), np.concatenate(found_j)
+    # partners of a line at a word, earliest first
+    order = np.lexsort((cid[i], j))
+    i, j = i[order], j[order]
+    rank = np.arange(len(j)) - np.searchsorted(j, j, "left")
+    wanted, more = (rank >= begin) & (rank < end), np.unique(j[rank >= end])
+    pairs = np.unique(np.stack([cid[i[wanted]], cid[j[wanted]]]), axis=1)
+    left = np.concatenate([pairs[0], -1 - word[more].astype(np.int64)])
+    yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(np.concatenate([pairs[1], cid[more]]))], ["i", "j"])
+
+
+def word_of(packed: str) -> Column:
+    return F.shiftrightunsigned(packed, 32)
 
 
 def propose(words: DataFrame, begin: int, end: int) -> DataFrame:
-    """(i, j): earlier partners number ``begin`` to ``end`` of each open class at each word; i is -1 where there are more."""
-    return words.repartition(F.shiftrightunsigned("packed", 32)).mapInArrow(lambda b: _propose(b, begin, end), PAIRS).distinct()
+    """(i, j): earlier partners number ``begin`` to ``end`` of each open class at each word.
+
+    Where a class has more partners at a word, there is a row with i = -1 - word.
+    """
+    return words.repartition(word_of("packed")).mapInArrow(lambda b: _propose(b, begin, end), PAIRS).distinct()
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,17 +275,21 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
 
 def dropped_classes(classes: DataFrame, docs: DataFrame, rounds=ROUNDS) -> DataFrame:
     """(cid) of classes to which an earlier one is similar."""
-    words = classes.select("cid", F.col("k2").alias("bits"), F.explode("prefix").alias("packed"))
-    words, dropped = words.withColumn("open", F.lit(True)), None
+    every = classes.select("cid", "k2", "k3", F.explode("prefix").alias("packed"))
+    words, dropped = every.withColumn("open", F.lit(True)), None
     for begin, end in rounds:
         proposed = materialize(propose(words, begin, end), "line-pairs")
         matched = materialize(verified(proposed.where("i >= 0"), classes, docs).select(F.col("j").alias("cid")).distinct(), "lines-matched")
         dropped = matched if dropped is None else materialize(dropped.unionByName(matched), "lines-matched")
-        more = proposed.where("i < 0").select(F.col("j").alias("cid")).join(dropped, "cid", "left_anti")
-        more = materialize(more.withColumn("open", F.lit(True)), "lines-open")
+        more = proposed.where("i < 0").select((-1 - F.col("i")).alias("word"), F.col("j").alias("cid")).join(dropped, "cid", "left_anti")
+        more = materialize(more, "lines-open")
         if not more.limit(1).count():
             break
-        words = words.drop("open").join(broadcast_if_small(more, 16), "cid", "left").withColumn("open", F.coalesce("open", F.lit(False)))
+        # the next round needs the lines of these words only
+        wanted = materialize(more.select("word").distinct(), "words-open")
+        rows = every.withColumn("word", word_of("packed")).join(broadcast_if_small(wanted, 16), "word", "left_semi")
+        still = more.withColumn("open", F.lit(True))
+        words = rows.join(broadcast_if_small(still, 24), ["word", "cid"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
     return dropped
 
 
