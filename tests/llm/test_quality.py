@@ -1,0 +1,75 @@
+import math
+import re
+from collections import Counter
+
+import duckdb
+from edge import LONG, documents, no_documents
+
+from semprune.llm import quality, sql
+from semprune.session import materialize
+
+WS = "[^\x20\x09-\x0d]"
+
+
+def brute(text):
+    t = text or ""
+    words = re.findall(WS + "+", t)
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    n = Counter(windows)
+    covered = {i + o for i, w in enumerate(windows) if n[w] > 1 for o in range(3)}
+    lines = [x for x in t.split("\n") if re.search(WS, x)]
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(covered)
+
+
+def measured(docs):
+    return quality.measures(docs)
+
+
+def test_measures_are_those_of_brute_force(spark):
+    extra = ["# * $%&|<> " * 20, "x y z " * 3 + "q\n\nx y z\n\nq", "a b a b a b a", "\x0b\x0cone\x1ftwo\x85three"]
+    for row in measured(documents(spark, extra=extra)).collect():
+        q = row.quality
+        assert (q.n_words, q.word_chars, q.n_symbols, q.n_dup_lines, q.n_repeat_words) == brute(row.text), row.text[:60]
+        assert sum(q.chars) == len(row.text or "")
+        assert row["a.b"] == "dotted"
+        found = Counter(w for w in re.findall(r"[^\W\d_]+", (row.text or "").lower()) if w in quality.COMMON)
+        assert {b.word: b.n for b in q.common} == found
+
+
+def test_verdicts_equal_sql_on_edge_rows(spark):
+    docs = documents(spark, extra=[LONG[:5000], "### *** " * 100, "THE OF AND TO " + LONG[:2000].upper()]).drop("quality", "kept")
+    judged = quality.judge(materialize(measured(docs), "measures"))
+    got = sorted((str(r.doc_id), r.quality.n_words, r.kept) for r in judged.collect())
+    con = duckdb.connect()
+    con.register("documents", docs.select("doc_id", "text", "lang").toPandas())
+    expected = sorted((str(int(r[0])) if r[0] is not None else "None", r[1], bool(r[2])) for r in con.execute(f"SELECT doc_id::BIGINT, n_words, kept FROM ({sql.quality_rules()})").fetchall())
+    assert got == expected
+
+
+def test_distance_is_jensen_shannon(spark):
+    docs = spark.createDataFrame([(1, "The cat and the dog. 12 #" * 40, "en"), (2, "Le chat et la souris sont de la maison. " * 20, "fr")], "doc_id long, text string, lang string")
+    rows = materialize(measured(docs), "measures")
+    p, q = ([n / sum(r.quality.chars) for n in r.quality.chars] for r in rows.orderBy("doc_id").collect())
+    middle = [(a + b) / 2 for a, b in zip(p, q, strict=True)]
+    kl = lambda x: sum(a * math.log2(a / m) for a, m in zip(x, middle, strict=True) if a)
+    from pyspark.sql import functions as F
+
+    reference = F.struct(F.array(*map(F.lit, q)).alias("chars"))
+    got = rows.where("doc_id = 1").select(quality.char_distance(F.col("quality"), reference)).first()[0]
+    assert abs(got - math.sqrt((kl(p) + kl(q)) / 2)) < 1e-9
+
+
+def test_junk_goes_and_prose_stays(spark):
+    path = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{path}/documents.parquet"), spark.read.parquet(f"{path}/labels.parquet")
+    judged = quality.judge(materialize(measured(docs), "measures")).join(labels, "doc_id")
+    rows = judged.select("kept", labels["quality"].alias("label"), "n_chars").collect()
+    good = [r.kept for r in rows if r.label == 1 and r.n_chars > 600]
+    bad = [r.kept for r in rows if r.label == 0]
+    assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.05 * len(bad)
+
+
+def test_no_documents_and_nothing_that_passes(spark):
+    assert quality.judge(materialize(measured(no_documents(spark)), "m")).count() == 0
+    docs = spark.createDataFrame([(1, "too short", None)], "doc_id long, text string, lang string")
+    assert [r.kept for r in quality.judge(materialize(measured(docs), "m")).collect()] == [False]
