@@ -39,7 +39,7 @@ BYTES_AT_ONCE = 1_000_000
 PAIRS_AT_ONCE = 2_000_000
 WIDEST = 65535
 
-LINES = "doc_id long, doc_hash long, line int, k1 long, k2 long, k3 long, prefix array<long>"
+LINES = "doc_id long, doc_hash long, line int, k1 long, k2 long, k3 long, size int, prefix array<int>"
 PAIRS = "i long, j long"
 
 
@@ -142,18 +142,17 @@ def _line_rows(keys: list[tuple], texts: list[bytes], places: np.ndarray, seen:
                 seen.add(name)
     at = np.arange(len(key)) - start[line]
     chosen = (at < prefix_length(size)[line]) & new[line]
-    name = word[chosen] >> np.uint64(32) << np.uint64(32)
-    width = np.minimum(size[line[chosen]], WIDEST).astype(np.uint64) << np.uint64(16)
-    packed = (name | width | np.minimum(at[chosen], WIDEST).astype(np.uint64)).view(np.int64)
+    name = (word[chosen] >> np.uint64(32)).astype(np.uint32).view(np.int32)
     offsets = np.concatenate([[0], np.cumsum(np.where(new, prefix_length(size), 0))]).astype(np.int32)
-    prefix = pa.ListArray.from_arrays(pa.array(offsets), pa.array(packed), mask=pa.array(~new))
+    prefix = pa.ListArray.from_arrays(pa.array(offsets), pa.array(name), mask=pa.array(~new))
     # line numbers count from the first line of their document
     lines_of = np.array([t.count(b"\n") + 1 for t in texts])
     first = np.cumsum(lines_of) - lines_of
     doc = np.searchsorted(first, judged, "right") - 1
     column = lambda k: pa.array([keys[d][k] for d in doc.tolist()], pa.int64())
     bits = [pa.array(x.view(np.int64)) for x in (k1, k2, k3)]
-    return pa.RecordBatch.from_arrays([column(0), column(1), pa.array((judged - first[doc]).astype(np.int32)), *bits, prefix], ["doc_id", "doc_hash", "line", "k1", "k2", "k3", "prefix"])
+    number, width = (pa.array(x.astype(np.int32)) for x in (judged - first[doc], np.minimum(size, WIDEST)))
+    return pa.RecordBatch.from_arrays([column(0), column(1), number, *bits, width, prefix], ["doc_id", "doc_hash", "line", "k1", "k2", "k3", "size", "prefix"])
 
 
 def _lines(batches: Iterator[pa.RecordBatch], places) -> Iterator[pa.RecordBatch]:
@@ -163,9 +162,9 @@ def _lines(batches: Iterator[pa.RecordBatch], places) -> Iterator[pa.RecordBatch
 
 
 def judged_lines(docs: DataFrame, places: np.ndarray) -> DataFrame:
-    """(doc_id, doc_hash, line, k1, k2, k3, prefix) of each judged line; (k1, k2, k3) names its set, k2 and k3 are its bitmap.
+    """(doc_id, doc_hash, line, k1, k2, k3, size, prefix) of each judged line; (k1, k2, k3) names its set, k2 and k3 are its bitmap.
 
-    The prefix, (word, size, position) in a number each, is there once at least for each set.
+    The prefix, 32 bits of each word's hash in order, is there once at least for each set.
     """
     held = docs.sparkSession.sparkContext.broadcast(places)
     rows = docs.select(*document_key(), F.col("text").cast("string").alias("text"))
@@ -173,11 +172,11 @@ def judged_lines(docs: DataFrame, places: np.ndarray) -> DataFrame:
 
 
 def line_classes(lines: DataFrame) -> DataFrame:
-    """(cid, doc_id, doc_hash, line, k2, k3, prefix) of each different set; ``cid`` ascends with the first line."""
+    """(cid, doc_id, doc_hash, line, k2, k3, size, prefix) of each different set; ``cid`` ascends with the first line."""
     first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "doc_hash", "line")
-    classes = lines.groupBy("k1", "k2", "k3").agg(F.min(first).alias("first"), F.max("prefix").alias("prefix"))
+    classes = lines.groupBy("k1", "k2", "k3").agg(F.min(first).alias("first"), F.max("size").alias("size"), F.max("prefix").alias("prefix"))
     numbered = classes.orderBy("first").withColumn("cid", F.monotonically_increasing_id())
-    return numbered.select("cid", "first.doc_id", "first.doc_hash", "first.line", "k2", "k3", "prefix")
+    return numbered.select("cid", "first.doc_id", "first.doc_hash", "first.line", "k2", "k3", "size", "prefix")
 
 
 # --- candidates ------------------------------------------------------------------------------
@@ -275,7 +274,9 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
 
 def dropped_classes(classes: DataFrame, docs: DataFrame, rounds=ROUNDS) -> DataFrame:
     """(cid) of classes to which an earlier one is similar."""
-    every = classes.select("cid", "k2", "k3", F.explode("prefix").alias("packed"))
+    every = classes.select("cid", "k2", "k3", "size", F.posexplode("prefix").alias("at", "word"))
+    place = F.shiftleft("size", 16).bitwiseOR(F.least("at", F.lit(WIDEST))).cast("long").bitwiseAND(0xFFFFFFFF)
+    every = every.select("cid", "k2", "k3", F.shiftleft(F.col("word").cast("long"), 32).bitwiseOR(place).alias("packed"))
     words, dropped = every.withColumn("open", F.lit(True)), None
     for begin, end in rounds:
         proposed = materialize(propose(words, begin, end), "line-pairs")
