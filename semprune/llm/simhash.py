@@ -36,7 +36,9 @@ TILE_LEAVES = 4096
 TILE_AVERAGES = 8
 #: Pairs of nodes with at most so many pairs of leaves are compared leaf by leaf.
 FEW_PAIRS = 64
-FRONTIER = 1 << 20
+#: Pairs of nodes, and pairs of leaves, that a task holds at once.
+FRONTIER = 1 << 17
+LEAF_PAIRS = 1 << 19
 
 
 # --- fingerprints ----------------------------------------------------------------------------
@@ -166,14 +168,17 @@ def link_leaves(values: np.ndarray, group: np.ndarray, budget: int, prints: np.n
         single = (runs[a0] == runs[a1 - 1]) & (runs[b0] == runs[b1 - 1]) & (label[a0] == label[b0])
         a0, a1, b0, b1, differ = (x[~single] for x in (a0, a1, b0, b1, differ))
         few = ((a1 - a0) * (b1 - b0) <= FEW_PAIRS) | (level == 64)
-        if few.any():
-            i, j = _leaf_pairs(a0[few], a1[few], b0[few], b1[few])
+        at, linked = np.flatnonzero(few), False
+        held = np.cumsum((a1[at] - a0[at]) * (b1[at] - b0[at])) // LEAF_PAIRS
+        for part in np.split(at, np.flatnonzero(np.diff(held)) + 1) if len(at) else []:
+            i, j = _leaf_pairs(a0[part], a1[part], b0[part], b1[part])
             new = label[i] != label[j]
             i, j = i[new], j[new]
             new = close(i, j)
             if new.any():
-                label = _unite(label, i[new], j[new])
-                runs = np.concatenate([[0], np.cumsum(label[1:] != label[:-1])])
+                label, linked = _unite(label, i[new], j[new]), True
+        if linked:
+            runs = np.concatenate([[0], np.cumsum(label[1:] != label[:-1])])
         a0, a1, b0, b1, differ = (x[~few] for x in (a0, a1, b0, b1, differ))
         if not len(a0):
             continue
