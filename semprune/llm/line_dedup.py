@@ -1,12 +1,12 @@
 """Near-equal lines across all documents: an exact set-similarity join that removes later matches.
 
 A line is the set of its lower-cased words. It is removed if an earlier line (by document id, then line
-number) has a Jaccard similarity of 0.8 or more to it, removed itself or not. Lines with fewer than ``MIN_WORDS``
-different words are not judged.
+number) has a Jaccard similarity of 0.8 or more to it, removed itself or not. Lines without
+words are not judged.
 
 Plan. Words are counted in 2^20 hash buckets, a table of fixed size that is broadcast; words in rare buckets
 come first in the order of every line. Lines with equal sets are one class, numbered by its first line,
-so copies never meet. Similar sets share a word in their prefixes (the first n - ceil(0.8 n) + 1 words), so
+so copies never meet; up to ``EQUAL_WORDS`` words nothing else is similar. Similar sets share a word in their prefixes (the first n - ceil(0.8 n) + 1 words), so
 classes meet by prefix word, and length, positional and bitmap bounds drop nearly all pairs that cannot be
 similar; each bound is exact. A class needs one earlier match only: a word proposes the
 earliest few partners first, these are verified on the texts, and the next round proposes further ones for
@@ -29,7 +29,10 @@ from semprune.llm.common import broadcast_if_small, clean_text
 from semprune.llm.word_hashes import mixed, word_hashes
 from semprune.session import materialize
 
-MIN_WORDS = 8
+#: Lines with fewer different words are not judged.
+MIN_WORDS = 1
+#: A set of at most so many words is similar to no other set: 3 of 4 words are 0.75.
+EQUAL_WORDS = 3
 BUCKET_BITS = 20
 SLICES = 64
 #: Partners of a class that a word proposes by round: from, up to.
@@ -121,7 +124,7 @@ def _line_rows(keys: list[tuple], texts: list[bytes], places: np.ndarray, seen:
     fresh = np.ones(len(key), bool)
     fresh[1:] = (key[1:] != key[:-1]) | (line[1:] != line[:-1])
     key, line = key[fresh], line[fresh]
-    # only lines with enough words, numbered anew
+    # only lines with words, numbered anew
     counts = np.bincount(line, minlength=len(ends) + 1)
     judged = np.flatnonzero(counts >= MIN_WORDS)
     kept = counts[line] >= MIN_WORDS
@@ -140,16 +143,18 @@ def _line_rows(keys: list[tuple], texts: list[bytes], places: np.ndarray, seen:
             new[i] = True
             if len(seen) < KEPT_LINES:
                 seen.add(name)
+    # sets that can be similar to another one
+    paired = new & (size > EQUAL_WORDS)
     at = np.arange(len(key)) - start[line]
-    chosen = (at < prefix_length(size)[line]) & new[line]
+    chosen = (at < prefix_length(size)[line]) & paired[line]
     name = (word[chosen] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-    offsets = np.concatenate([[0], np.cumsum(np.where(new, prefix_length(size), 0))]).astype(np.int32)
-    prefix = pa.ListArray.from_arrays(pa.array(offsets), pa.array(name), mask=pa.array(~new))
+    offsets = np.concatenate([[0], np.cumsum(np.where(paired, prefix_length(size), 0))]).astype(np.int32)
+    prefix = pa.ListArray.from_arrays(pa.array(offsets), pa.array(name), mask=pa.array(~paired))
     # line numbers count from the first line of their document
     lines_of = np.array([t.count(b"\n") + 1 for t in texts])
     first = np.cumsum(lines_of) - lines_of
     doc = np.searchsorted(first, judged, "right") - 1
-    column = lambda k: pa.array([keys[d][k] for d in doc.tolist()], pa.int64())
+    column = lambda k: pa.array([key[k] for key in keys], pa.int64()).take(pa.array(doc))
     bits = [pa.array(x.view(np.int64)) for x in (k1, k2, k3)]
     number, width = (pa.array(x.astype(np.int32)) for x in (judged - first[doc], np.minimum(size, WIDEST)))
     return pa.RecordBatch.from_arrays([column(0), column(1), number, *bits, width, prefix], ["doc_id", "doc_hash", "line", "k1", "k2", "k3", "size", "prefix"])

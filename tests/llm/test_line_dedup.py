@@ -83,5 +83,22 @@ def test_repeated_rows_are_one_document(spark):
     assert got == [("1", (1,)), ("1", (1,)), ("2", (0, 1)), ("None", (0, 1))]
 
 
+def test_short_lines_are_judged(spark):
+    r = random.Random(4)
+    vocabulary = [f"s{i}" for i in range(14)]
+    texts = ["Released under the MIT License.\nhome\na b c d\n\n1 2 3 4", "released under the MIT License.\nHOME home\ne a b c d\na b c\n \n1 2 3", "la " * 60]
+    texts += ["\n".join(" ".join(r.choice(vocabulary) for _ in range(r.randint(0, 9))) for _ in range(4)) for _ in range(60)] + ["la " * 70]
+    seen, expected = [], {}
+    for n, text in enumerate(texts):
+        for k, line in enumerate(text.lower().split("\n")):
+            words = set(line.split())
+            if words and any(5 * len(words & s) >= 4 * len(words | s) for s in seen):
+                expected.setdefault(n, []).append(k)
+            seen += [words] if words else []
+    assert expected[1] == [0, 1, 2] and len(texts) - 1 in expected
+    docs = materialize(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), "docs")
+    assert {x.doc_id: x.removed_lines for x in ld.dedup_lines(docs).collect() if x.removed_lines} == expected
+
+
 def test_no_documents(spark):
     assert ld.dedup_lines(materialize(no_documents(spark), "docs")).count() == 0
