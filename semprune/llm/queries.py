@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from semprune.llm import chat, decontaminate, external_shuffle, line_dedup, packing, pseudonyms, quality, simhash, sql, trust, warc
+from semprune.llm import (
+    chat,
+    conversation_repair,
+    decontaminate,
+    external_shuffle,
+    line_dedup,
+    mixing,
+    packing,
+    pseudonyms,
+    quality,
+    simhash,
+    sql,
+    trust,
+    vector_codes,
+    warc,
+)
 from semprune.session import materialize, scratch_path
 
 N_SHARDS = 8
@@ -120,10 +135,39 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), simhash.as_hex(F.get("prints", F.lit(0))).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A conversation of which no row is left has zeros, an empty audit and the digest of an empty text."""
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    facts, turns = conversation_repair.repair(conversation_repair.damage(rows))
+    key = conversation_repair.KEY
+    named = rows.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    named = named.select("conv_id", F.coalesce("conv_id", F.lit(0)).alias("conv"), F.col("conv_id").isNull().alias("missing"))
+    whole = named.join(facts, key, "left").join(conversation_repair.digests(turns), key, "left")
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return whole.select(
+        "conv_id",
+        *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op") and name[2].isdigit()}
 SQL = {
     "op3_quality_rules": sql.quality_rules(),
     "op4_chat_format": sql.chat_format(PLANTED_TEXT),
     "op7_warc": sql.warc(),
     "op9_url_trust": sql.url_trust(URL_RULES),
+    "op11_conversation_repair": sql.conversation_repair(),
+    "op12_mixing": sql.mixing(),
+    "op13_vector_codes": sql.vector_codes(),
 }
