@@ -22,8 +22,11 @@ from semprune.functions.text import whitespace_tokens
 from semprune.functions.vectors import is_zero_vector, l2_normalize
 from semprune.operators import checks, chunk, clusters, embed, ids, kmeans, merge, prune, quantiles, shards
 from semprune.operators.assign import assign_nearest
-from semprune.operators.positions import position_by_key
-from semprune.operators.similarity import max_similarity
+from semprune.operators.centroid_index import assign_indexed
+from semprune.operators.kmeans_bounds import fit_kmeans_bounded
+from semprune.operators.positions import position_by_key, position_by_order
+from semprune.operators.similarity import max_similarity, new_similarity
+from semprune.operators.similarity_pruned import max_similarity_pruned
 from semprune.plans import jobs
 from semprune.session import materialize, scratch_path, ship_package
 from semprune.sources import matrix, sinks, tables
@@ -152,6 +155,15 @@ def q_assign_nearest_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assigned.select("uid", "cid", _digits("centroid_sim").alias("centroid_sim"))
 
 
+def q_assign_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Centroids and their index written, read together and searched."""
+    vectors = _vectors(spark, sf_dir)
+    path = scratch_path(spark, "indexed-centroids")
+    sinks.write_indexed_centroids(_centroids(vectors), path)
+    found = assign_indexed(vectors.select("uid", "embedding"), *tables.read_indexed_centroids(spark, path))
+    return found.select("uid", "cid", _digits("centroid_sim").alias("centroid_sim"))
+
+
 def q_cluster_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _labelled(_vectors(spark, sf_dir))
 
@@ -215,6 +227,14 @@ def q_kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_kmeans_fit_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same centroids with bounds carried between iterations."""
+    fitted, _ = fit_kmeans_bounded(_vectors(spark, sf_dir), k=10, n_iter=5)
+    return fitted.select("cid", F.posexplode("centroid").alias("pos", "value")).select(
+        "cid", "pos", _digits(F.col("value").cast("double"), 5).alias("value")
+    )
+
+
 def q_kmeans_fit_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector three times, with components shifted by turns: far more rows than centroids."""
     vectors = _vectors(spark, sf_dir)
@@ -276,6 +296,29 @@ def q_max_similarity_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("cid", "ord", "uid", _digits("sim").alias("sim"))
 
 
+def q_max_similarity_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same scores with tiles of neighbours, most of which bounds rule out."""
+    vectors = _vectors(spark, sf_dir)
+    scores = max_similarity_pruned(_labelled(vectors), vectors, tile_rows=16)
+    return scores.select("cid", "ord", "uid", _digits("sim").alias("sim"))
+
+
+def q_max_similarity_by_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard after shard, each scored against the members before it, with every vector once more in the last shard."""
+    vectors = _vectors(spark, sf_dir)
+    again = F.explode(F.array(F.lit(0), F.lit(1))).alias("again")
+    rows = vectors.select("idx", "cid", "embedding", again)
+    shard = F.when(F.col("again") == 0, F.col("idx") % N_SHARDS).otherwise(N_SHARDS).cast("int")
+    rows = rows.select((F.col("idx") * 2 + F.col("again")).alias("idx"), "cid", "embedding", shard.alias("shard")).withColumn("uid", F.col("idx"))
+    rows = materialize(rows, "rows-by-shard")
+    order = [F.col("shard"), F.col("uid")]
+    members = materialize(position_by_order(rows.select("cid", "shard", "idx", "uid"), ["cid"], order, "ord"), "members-by-shard")
+    scores = max_similarity(members.where("shard = 0"), rows)
+    for k in range(1, N_SHARDS + 1):
+        scores = scores.unionByName(new_similarity(members.where(F.col("shard") < k), members.where(F.col("shard") == k), rows))
+    return scores.select("cid", "ord", "uid", _digits("sim").alias("sim"))
+
+
 def q_similarity_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Estimate from the first clusters only (the sampling feature of the similarity job)."""
     vectors = _vectors(spark, sf_dir)

@@ -162,6 +162,7 @@ FROM embeddings GROUP BY label
         "assign_nearest": f"WITH {NEAREST} SELECT vec_id AS uid, cid, round(dot, 6) AS centroid_sim FROM nearest",
         "assign_nearest_blocks": f"WITH {NEAREST} SELECT vec_id AS uid, cid, round(dot, 6) AS centroid_sim FROM nearest",
         "assign_nearest_repeated": f"WITH {NEAREST} SELECT vec_id % 5 AS uid, cid, round(dot, 6) AS centroid_sim FROM nearest",
+        "assign_indexed": f"WITH {NEAREST} SELECT vec_id AS uid, cid, round(dot, 6) AS centroid_sim FROM nearest",
         "cluster_members": f"WITH {LABELLED} SELECT cid, ord, uid AS idx, uid FROM labelled",
         "cluster_sizes": """
 WITH known AS (SELECT DISTINCT label AS cid FROM embeddings),
@@ -197,10 +198,17 @@ SELECT moved.cid, pos::INT AS pos, round(m / n, 6) AS value FROM moved JOIN size
 SELECT vec_id AS uid FROM embeddings ORDER BY ('0x' || substr(md5(vec_id || ':1234'), 1, 15))::BIGINT LIMIT 160
 """,
         "kmeans_fit": kmeans(10, 5, 1234, "SELECT vec_id, embedding FROM embeddings"),
+        "kmeans_fit_bounds": kmeans(10, 5, 1234, "SELECT vec_id, embedding FROM embeddings"),
         "kmeans_fit_all": kmeans(4, 4, 1234, KMEANS_ALL),
         "kmeans_assign_saved": f"WITH {NEAREST} SELECT cid, count(*) AS n FROM nearest GROUP BY cid",
         "max_similarity": f"WITH {LABEL_SCORES} SELECT cid, ord, uid, round(sim, 6) AS sim FROM sims",
         "max_similarity_tiles": f"WITH {LABEL_SCORES} SELECT cid, ord, uid, round(sim, 6) AS sim FROM sims",
+        "max_similarity_pruned": f"WITH {LABEL_SCORES} SELECT cid, ord, uid, round(sim, 6) AS sim FROM sims",
+        "max_similarity_by_shard": f"""
+WITH twice AS (SELECT vec_id * 2 + a AS uid, label AS cid, embedding::DOUBLE[] AS v, CASE a WHEN 0 THEN vec_id % 4 ELSE 4 END AS shard FROM embeddings CROSS JOIN range(2) r(a)),
+labelled AS (SELECT cid, row_number() OVER (PARTITION BY cid ORDER BY shard, uid) - 1 AS ord, uid, v FROM twice), {scores("sims", "labelled")}
+SELECT cid, ord, uid, round(sim, 6) AS sim FROM sims
+""",
         "max_similarity_copies": f"""
 WITH tripled AS (SELECT vec_id * 3 + c AS vec_id, label, embedding FROM embeddings CROSS JOIN range(3) r(c)),
 {members("labelled", "tripled", "label")}, {scores("sims", "labelled")}

@@ -16,7 +16,7 @@ from semprune.operators.positions import position_by_order
 from semprune.session import materialize
 
 # Largest centroid matrix (float64 bytes) sent to every executor; larger ones are sent in blocks.
-BROADCAST_LIMIT = 1 << 30
+BROADCAST_LIMIT = 1 << 28
 # Work block inside a task: vectors x centroids scored by one matrix product.
 ROW_BLOCK = 1024
 CENTROID_BLOCK = 8192
@@ -55,7 +55,7 @@ def best_match(x: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.nda
     return best, where
 
 
-def _result_schema(vectors: DataFrame, keep: list[str]) -> T.StructType:
+def result_schema(vectors: DataFrame, keep: list[str]) -> T.StructType:
     fields = [T.StructField(name, vectors.schema[name].dataType) for name in keep]
     return T.StructType([*fields, T.StructField("cid", T.IntegerType()), T.StructField("centroid_sim", T.DoubleType())])
 
@@ -78,7 +78,7 @@ def _assign_broadcast(vectors: DataFrame, centroids: DataFrame, keep: list[str],
             columns += [pa.array(ids[where], pa.int32()), pa.array(best, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "cid", "centroid_sim"])
 
-    return vectors.select(*keep, *([] if "embedding" in keep else ["embedding"])).mapInArrow(score, _result_schema(vectors, keep))
+    return vectors.select(*keep, *([] if "embedding" in keep else ["embedding"])).mapInArrow(score, result_schema(vectors, keep))
 
 
 def _assign_passes(vectors: DataFrame, centroids: DataFrame, keep: list[str], k: int, dim: int, limit: int) -> DataFrame:
@@ -90,7 +90,7 @@ def _assign_passes(vectors: DataFrame, centroids: DataFrame, keep: list[str], k:
     per_block = max(1, limit // (8 * dim))
     numbered = materialize(position_by_order(centroids.select("cid", "centroid"), [], [F.col("cid")], "place"), "centroids")
     carried = keep if "embedding" in keep else [*keep, "embedding"]
-    schema = _result_schema(vectors, carried)
+    schema = result_schema(vectors, carried)
 
     def one_pass(rows: DataFrame, shared: Broadcast) -> DataFrame:
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

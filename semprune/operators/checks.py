@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from semprune.functions.vectors import has_nan, is_zero_vector, squared_norm
+from semprune.operators.centroid_index import centroids_digest
 from semprune.operators.shards import shard_sizes
 
 UNIT_TOLERANCE = 1e-4
@@ -133,6 +134,22 @@ def check_centroids(centroids: DataFrame) -> DataFrame:
     return report.withColumn("ok", numbered & shaped)
 
 
+def check_centroid_index(centroids: DataFrame, index: DataFrame) -> DataFrame:
+    """The index was made from these centroids and lists each of them once."""
+    made = centroids_digest(centroids)
+    listed = index.agg(
+        F.count("*").alias("n_listed"),
+        F.count_distinct("cid").alias("n_ids"),
+        F.min("k").alias("index_k"),
+        F.min("digest").alias("low"),
+        F.max("digest").alias("high"),
+    )
+    report = _side_by_side(made, listed)
+    whole = (F.col("n_listed") == F.col("k")) & (F.col("n_ids") == F.col("k")) & (F.col("index_k") == F.col("k"))
+    same = F.coalesce((F.col("low") == F.col("digest")) & (F.col("high") == F.col("digest")), F.lit(False))
+    return report.select("k", "n_listed", (F.coalesce(whole, F.lit(False)) & same).alias("ok"))
+
+
 def check_vectors(vectors: DataFrame) -> DataFrame:
     """Zero vectors, vectors with NaN or null components, and vectors that are not of unit length."""
     v = F.col("embedding")

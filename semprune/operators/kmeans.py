@@ -120,7 +120,9 @@ def _nearest_sums(sample: DataFrame, centroids: DataFrame, dim: int) -> tuple[Da
     return sample.select("embedding").mapInArrow(add, PARTIAL_SCHEMA), shared
 
 
-def _member_sums(assigned: DataFrame, dim: int) -> DataFrame:
+def member_sums(assigned: DataFrame, dim: int) -> DataFrame:
+    """Partial sums of rows that carry their cluster."""
+
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _summed(batches, dim, lambda batch, x: batch.column("cid").to_numpy())
 
@@ -155,28 +157,40 @@ def _refill_empty(means: DataFrame, centroids: DataFrame) -> DataFrame:
     )
 
 
-def _moved(sample: DataFrame, centroids: DataFrame, k: int, dim: int, broadcast_limit: int) -> DataFrame:
-    """New centroids, written; clusters are refilled only when some are empty."""
-    shared = None
-    if 8 * k * dim <= broadcast_limit:
-        partial, shared = _nearest_sums(sample, centroids, dim)
-    else:
-        partial = _member_sums(assign_nearest(sample, centroids, ["idx", "embedding"], broadcast_limit), dim)
+def moved_by_sums(partial: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
+    """New centroids from partial sums, written; clusters are refilled only when some are empty."""
     total = vector_to_array(Summarizer.sum(array_to_vector("total")))
     sums = partial.groupBy("cid").agg(F.sum("n").alias("n"), total.alias("total"))
     means = materialize(sums.select("cid", "n", l2_normalize(F.col("total")).alias("centroid")), "means")
-    if shared:
-        shared.destroy()
     if means.count() == k:
         return means.select("cid", "centroid")
     return materialize(_refill_empty(means, centroids), "centroids")
 
 
+def _moved(sample: DataFrame, centroids: DataFrame, k: int, dim: int, broadcast_limit: int) -> DataFrame:
+    if 8 * k * dim > broadcast_limit:
+        assigned = assign_nearest(sample, centroids, ["idx", "embedding"], broadcast_limit)
+        return moved_by_sums(member_sums(assigned, dim), centroids, k)
+    partial, shared = _nearest_sums(sample, centroids, dim)
+    moved = moved_by_sums(partial, centroids, k)
+    shared.destroy()
+    return moved
+
+
 def lloyd_step(sample: DataFrame, centroids: DataFrame, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """One iteration: assign the sample to the centroids and move them to the member means."""
     return _moved(sample, centroids, *centroid_shape(centroids), broadcast_limit)
 
 
+def training_rows(vectors: DataFrame, k: int, seed: int) -> tuple[DataFrame, int, DataFrame]:
+    """(rows, number of rows, first centroids), both tables written."""
+    sample = materialize(vectors.select("idx", "embedding"), "train")
+    n = sample.count()
+    if n < k:
+        raise ValueError(f"{n} training rows for {k} clusters")
+    return sample, n, materialize(initial_centroids(sample, k, seed), "centroids")
+
+
 def fit_kmeans(
     vectors: DataFrame, k: int, n_iter: int = 40, seed: int = SEED, broadcast_limit: int = BROADCAST_LIMIT
 ) -> DataFrame:
@@ -186,11 +200,7 @@ def fit_kmeans(
     centroids are written so that an iteration never repeats an earlier one. To train on a
     sample, pass one (``train_subsample``).
     """
-    sample = materialize(vectors.select("idx", "embedding"), "train")
-    n = sample.count()
-    if n < k:
-        raise ValueError(f"{n} training rows for {k} clusters")
-    centroids = materialize(initial_centroids(sample, k, seed), "centroids")
+    sample, _, centroids = training_rows(vectors, k, seed)
     _, dim = centroid_shape(centroids)
     for _ in range(n_iter):
         centroids = _moved(sample, centroids, k, dim, broadcast_limit)

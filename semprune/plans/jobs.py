@@ -12,8 +12,11 @@ from semprune.functions.names import keep_name
 from semprune.functions.vectors import is_zero_vector
 from semprune.operators import checks, chunk, clusters, embed, ids, kmeans, merge, prune, quantiles, shards
 from semprune.operators.assign import assign_nearest
+from semprune.operators.centroid_index import assign_indexed
+from semprune.operators.kmeans_bounds import fit_kmeans_bounded
 from semprune.operators.positions import position_by_key
-from semprune.operators.similarity import max_similarity
+from semprune.operators.similarity import max_similarity, new_similarity
+from semprune.operators.similarity_pruned import max_similarity_pruned
 from semprune.session import materialize
 from semprune.sources import matrix, sinks, tables
 from semprune.sources.paths import children, exists
@@ -102,25 +105,44 @@ def cluster_job(
     save_centroids: bool = True,
     train_only: bool = False,
     id_map: str | None = None,
+    max_points_per_centroid: int | None = None,
+    bounds: bool = True,
+    saved: str | None = None,
 ) -> None:
-    """Vectors -> ``output/centroids`` and ``output/members``; given centroids are used as they are.
+    """Vectors -> ``output/centroids``, ``output/index`` and ``output/members``; given centroids are used as they are.
 
-    Zero vectors carry no direction and are left out of the training only.
+    ``centroids`` names a table of centroids, ``saved`` a folder with ``centroids`` and ``index``, both of which are checked and used.
+
+    Zero vectors carry no direction and are left out of the training only. All others are trained on, unless
+    ``max_points_per_centroid`` asks for a sample. With ``bounds``, rows carry bounds between iterations; the share
+    of products that were computed is written to ``output/products``.
     """
     table = spark.read.parquet(vectors)
     if id_map:
         checks.require(checks.check_counts(spark.read.parquet(id_map), table), "ids and vectors")
-    if centroids:
+    index = None
+    if saved:
+        fitted, index = tables.read_indexed_centroids(spark, saved)
+        checks.require(checks.check_centroids(fitted), "centroids")
+    elif centroids:
         fitted = spark.read.parquet(centroids)
         checks.require(checks.check_centroids(fitted), "centroids")
     else:
         trainable = table.where(~is_zero_vector(F.col("embedding")))
-        fitted = kmeans.fit_kmeans(trainable, n_centroids, n_iter, seed)
+        if max_points_per_centroid:
+            trainable = kmeans.train_subsample(trainable, n_centroids, max_points_per_centroid, seed)
+        if bounds:
+            fitted, products = fit_kmeans_bounded(trainable, n_centroids, n_iter, seed)
+            products.coalesce(1).write.json(f"{output}/products")
+        else:
+            fitted = kmeans.fit_kmeans(trainable, n_centroids, n_iter, seed)
         if save_centroids:
-            sinks.write_centroids(fitted, f"{output}/centroids")
+            fitted = sinks.write_indexed_centroids(fitted, output)
+            index = spark.read.parquet(f"{output}/index")
     if train_only:
         return
-    assigned = materialize(assign_nearest(table.select("idx", "uid", "embedding"), fitted), "assigned")
+    rows = table.select("idx", "uid", "embedding")
+    assigned = materialize(assign_indexed(rows, fitted, index) if index else assign_nearest(rows, fitted), "assigned")
     members = clusters.order_members(assigned)
     if id_map:
         members = clusters.attach_uids(members, spark.read.parquet(id_map))
@@ -162,10 +184,20 @@ def similarity_job(
     points: list[float] | None = None,
     subsample: int = -1,
     tile_rows: int | None = None,
+    earlier_members: str | None = None,
+    prune_tiles: bool = False,
 ) -> None:
-    """Members and vectors -> ``output/similarity`` (cid, ord, idx, uid, sim) and ``output/quantiles``."""
+    """Members and vectors -> ``output/similarity`` (cid, ord, idx, uid, sim) and ``output/quantiles``.
+
+    With ``earlier_members``, whose scores are known, ``members`` are new ones behind them in their clusters, ``vectors`` holds those of
+    both, and only new members are scored. ``prune_tiles`` rules out tiles of large clusters by bounds; scores are the same.
+    """
     listed = clusters.first_clusters(spark.read.parquet(members), subsample)
-    scores = max_similarity(listed, spark.read.parquet(vectors), tile_rows)
+    table = spark.read.parquet(vectors)
+    if earlier_members:
+        scores = new_similarity(spark.read.parquet(earlier_members), listed, table, tile_rows)
+    else:
+        scores = (max_similarity_pruned if prune_tiles else max_similarity)(listed, table, tile_rows)
     scores.write.parquet(f"{output}/similarity")
     written = spark.read.parquet(f"{output}/similarity")
     checks.require(checks.check_similarity_labels(listed, written), "similarities per label")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from semprune.functions.names import keep_name, kept_set_name, subset_label
+from semprune.operators.centroid_index import build_index
 from semprune.sources.paths import delete, exists, qualified
 
 
@@ -53,6 +54,14 @@ def write_centroids(centroids: DataFrame, path: str) -> None:
     centroids.select("cid", "centroid").write.parquet(path)
 
 
+def write_indexed_centroids(centroids: DataFrame, path: str) -> DataFrame:
+    """``path/centroids`` and, made from what was written there, ``path/index``; the written centroids."""
+    write_centroids(centroids, f"{path}/centroids")
+    written = centroids.sparkSession.read.parquet(f"{path}/centroids")
+    build_index(written).write.parquet(f"{path}/index")
+    return written
+
+
 def write_members(members: DataFrame, path: str) -> None:
     """Cluster membership, files split by ranges of (cid, ord)."""
     ordered = members.select("cid", "ord", "idx", "uid").repartitionByRange("cid", "ord").sortWithinPartitions("cid", "ord")

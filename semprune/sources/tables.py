@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from semprune.operators.checks import check_shard_kinds, check_shards, require
+from semprune.operators.checks import check_centroid_index, check_shard_kinds, check_shards, require
 from semprune.operators.joins import join_counts
 from semprune.operators.positions import number_rows, running_before
 from semprune.sources.paths import children, exists
@@ -79,6 +79,16 @@ def read_shards(
     return df.select(*[c for c in df.columns if c != "shard"], shard.alias("shard"))
 
 
+def read_indexed_centroids(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Centroids and their index; one without the other, or of other centroids, fails."""
+    for name in ("centroids", "index"):
+        if not exists(spark, f"{path}/{name}/_SUCCESS"):
+            raise FileNotFoundError(f"{path}/{name} is missing or incomplete")
+    centroids, index = spark.read.parquet(f"{path}/centroids"), spark.read.parquet(f"{path}/index")
+    require(check_centroid_index(centroids, index), "centroids and index do not match")
+    return centroids, index
+
+
 def pair_shards(vectors: DataFrame, ids: DataFrame) -> DataFrame:
     """Vectors (shard, idx, embedding) with their ids (shard, idx, uid); incomplete shards fail."""
     require(check_shards(ids, vectors), "shards of ids and vectors do not match")
