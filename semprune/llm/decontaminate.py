@@ -1,6 +1,7 @@
 """Benchmark decontamination: items found in documents up to a budget of edits.
 
-An item of L characters may differ in k = L // 20 edits. It is split into k + 1 pieces; if a passage is
+An item of L characters may differ in k = L // 20 edits; one of fewer than ``SHORT_CHARS`` must stand there unchanged, between the ends of words,
+as a few letters within an edit of each other are no evidence. It is split into k + 1 pieces; if a passage is
 within k edits of it, one piece at least is there unchanged (pigeonhole). All pieces of a block of items
 form one automaton, each document is run through it where it is scanned, and around every hit
 Myers' bit-parallel algorithm takes the smallest edit distance of the item to any part of the text.
@@ -8,7 +9,7 @@ Nothing is shuffled. Items are taken in blocks of bounded bytes, a pass over the
 a large benchmark does not have to fit anywhere as a whole.
 
 Both sides are compared in lower case with white space runs as one space. Defined cases: a missing text
-is empty; items shorter than ``MIN_CHARS`` are no evidence and are left out; repeated rows and items
+is empty; an item without a word says nothing and is found nowhere; repeated rows and items
 count each; texts are read whole; columns of any name are kept where documents are returned.
 """
 
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHARS_PER_EDIT = 20
-MIN_CHARS = 32
+SHORT_CHARS = 32
 BLOCK_BYTES = 8 << 20
 
 HITS = "doc_id long, item_id long, distance int, end long"
@@ -32,9 +33,19 @@ def normal(text: str | None) -> str:
     return " ".join((text or "").lower().split())
 
 
+def budget_of(item: str) -> int:
+    return len(item) // CHARS_PER_EDIT if len(item) >= SHORT_CHARS else 0
+
+
+def stands_alone(item: str, line: str, at: int) -> bool:
+    """Whether no word of ``line`` goes on across an end of the item found at ``at``."""
+    joined = lambda a, b: a.isalnum() and b.isalnum()
+    return not joined(line[at - 1 : at], item[:1]) and not joined(item[-1:], line[at + len(item) : at + len(item) + 1])
+
+
 def pieces_of(item: str) -> list[tuple[int, str]]:
     """(offset, piece): budget + 1 pieces of nearly equal length."""
-    n = len(item) // CHARS_PER_EDIT + 1
+    n = budget_of(item) + 1
     edges = [len(item) * i // n for i in range(n + 1)]
     return [(a, item[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
 
@@ -71,7 +82,7 @@ class Finder:
         import ahocorasick
 
         self.items = [(i, normal(t)) for i, t in items]
-        self.items = [(i, t) for i, t in self.items if len(t) >= MIN_CHARS]
+        self.items = [(i, t) for i, t in self.items if t]
         self.pieces = ahocorasick.Automaton()
         places: dict[str, list[tuple[int, int]]] = {}
         for number, (_, text) in enumerate(self.items):
@@ -94,9 +105,11 @@ class Finder:
         found = []
         for number, begins in starts.items():
             item_id, item = self.items[number]
-            budget = len(item) // CHARS_PER_EDIT
-            best = None
-            for low, high in _merged(sorted(begins), 2 * budget + len(item)):
+            budget, best = budget_of(item), None
+            if len(item) < SHORT_CHARS:
+                alone = [at for at in begins if stands_alone(item, line, at)]
+                best, begins = (item_id, 0, min(alone) + len(item)) if alone else None, set()
+            for low, high in _merged(sorted(begins), 2 * budget + len(item)) if begins else ():
                 low, high = max(0, low - budget), high + len(item) + budget
                 at = line.find(item, low, high)
                 distance, end = (0, at + len(item)) if at >= 0 else myers(item, line[low:high])

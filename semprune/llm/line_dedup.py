@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from semprune.llm.common import broadcast_if_small, clean_text
+from semprune.llm.common import BROADCAST_BYTES, broadcast_if_small, clean_text
 from semprune.llm.word_hashes import mixed, word_hashes
 from semprune.session import materialize
 
@@ -315,14 +315,22 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     return removed
 
 
-def with_removed(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    """``docs`` with ``removed_lines``, an array of line numbers, empty where nothing goes."""
-    docs = docs.drop("removed_lines")
-    keyed = docs.select(F.struct("*").alias("doc"), *document_key())
+def removed_of(docs: DataFrame, removed: DataFrame) -> DataFrame:
+    """(doc, gone): each document whole, and the numbers of its lines that go, from the written ``removed``.
+
+    The short lists go to the documents if they are small together; only beyond that are documents shuffled.
+    """
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *document_key())
     mine = removed.where(F.size("removed") > 0).select(F.col("doc_id").alias("_id"), F.col("doc_hash").alias("_hash"), "removed")
+    size = mine.agg(F.sum(F.size("removed") * 4 + 64)).first()[0] or 0
+    mine = F.broadcast(mine) if size <= BROADCAST_BYTES else mine
     joined = keyed.join(mine, (keyed.doc_hash == F.col("_hash")) & keyed.doc_id.eqNullSafe(F.col("_id")), "left")
-    gone = F.coalesce("removed", F.array().cast("array<int>"))
-    return joined.select("doc.*", gone.alias("removed_lines"))
+    return joined.select("doc", F.coalesce("removed", F.array().cast("array<int>")).alias("gone"))
+
+
+def with_removed(docs: DataFrame, removed: DataFrame) -> DataFrame:
+    """``docs`` with ``removed_lines``, an array of line numbers, empty where nothing goes."""
+    return removed_of(docs.drop("removed_lines"), removed).select("doc.*", F.col("gone").alias("removed_lines"))
 
 
 def without_lines(text: Column, gone: Column) -> Column:

@@ -2,20 +2,21 @@
 
 Two histograms of a document are compared with the references of its language by Jensen-Shannon
 distance (square root of the divergence to base 2, from 0 to 1): character classes, and common
-words. References are the mean histograms over all documents of a language that pass the base
-rules. A document is rejected if its characters are far off, or if both histograms are somewhat
+words. References are the mean histograms over trusted documents of a language: those that are labelled as good and pass the
+base rules. They are fitted once, written with a version and read again, so a verdict depends on the document and the references alone,
+whatever else is in the table. A document is rejected if its characters are far off, or if both histograms are somewhat
 off. Histograms of short texts are noise, so each comparison needs a minimum length. All steps are
 DataFrame operations; the text is read once, without a shuffle.
 
 Defined cases: a missing text has no words and fails; a language that is missing or has no reference
-is compared with the mean over all languages; with no reference at all (nothing passed the base rules)
-only the base rules judge; a document too short for a comparison passes it. Texts are read whole,
+is compared with the mean over all languages, as is a table without ``lang``; with no reference at all (nothing trusted
+passed the base rules) only the base rules judge; a document too short for a comparison passes it. Texts are read whole,
 repeated rows are judged each. Columns of any name are kept; ``quality`` and ``kept`` are set here.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from semprune.llm.common import SPACE, broadcast_if_small, clean_text, words_of
@@ -103,13 +104,20 @@ def base_failed(q: Column) -> Column:
     return (q["n_words"] < MIN_WORDS) | (q["n_repeat_words"] * 100 > q["n_words"] * MAX_REPEATED_PERCENT)
 
 
+def trusted(measured: DataFrame, labels: DataFrame) -> DataFrame:
+    """The ``measured`` documents that ``labels(doc_id, quality)`` calls good."""
+    good = materialize(labels.where("quality = 1").select("doc_id").distinct(), "labelled-good")
+    return measured.join(broadcast_if_small(good, 16), "doc_id", "left_semi")
+
+
 def references(measured: DataFrame) -> DataFrame:
-    """(lang, chars, words, rest): mean histograms of a language; lang ``*`` is over all documents.
+    """(lang, chars, words, rest): mean histograms of a language; lang ``*`` is over all given documents.
 
     ``words`` maps a common word to its share, ``rest`` is the share of all other words.
     """
     q = F.col("quality")
-    passed = measured.where(~base_failed(q)).select(F.explode(F.array(F.col("lang"), F.lit("*"))).alias("lang"), q.alias("q")).where("lang IS NOT NULL")
+    lang = F.col("lang") if "lang" in measured.columns else F.lit(None).cast("string")
+    passed = measured.where(~base_failed(q)).select(F.explode(F.array(lang, F.lit("*"))).alias("lang"), q.alias("q")).where("lang IS NOT NULL")
     n_chars = _total(F.col("q.chars"))
     shares = [F.avg(F.get("q.chars", F.lit(i)) / n_chars).alias(f"c{i}") for i in range(len(CLASSES))]
     chars = passed.groupBy("lang").agg(F.count("*").alias("docs"), *shares)
@@ -122,6 +130,22 @@ def references(measured: DataFrame) -> DataFrame:
     return joined.select("lang", F.array(*[f"c{i}" for i in range(len(CLASSES))]).alias("chars"), F.map_from_entries(bins).alias("words"), (1 - total).alias("rest"))
 
 
+def write_references(found: DataFrame, path: str) -> None:
+    """References, few rows, with a version that depends on all of them."""
+    found = materialize(found, "quality-references")
+    words = F.sort_array(F.map_entries("words"))
+    version = found.select(F.coalesce(F.sum(F.xxhash64("lang", "chars", words, "rest").cast("decimal(38,0)")), F.lit(0)).cast("string")).first()[0]
+    found.withColumn("version", F.lit(version)).coalesce(1).write.parquet(path)
+
+
+def read_references(spark: SparkSession, path: str, version: str | None = None) -> DataFrame:
+    """Written references; with ``version``, any other fails."""
+    found = spark.read.parquet(path)
+    if version is not None and found.where(F.col("version") != version).limit(1).count():
+        raise ValueError(f"{path} does not hold version {version}")
+    return found.drop("version")
+
+
 def _part(p: Column, q: Column) -> Column:
     """Contribution of one bin to twice the divergence."""
     term = lambda x: F.when(x > 0, x * F.log2(2 * x / (p + q))).otherwise(0.0)
@@ -146,9 +170,8 @@ def word_distance(q: Column, reference: Column) -> Column:
     return F.sqrt(F.greatest(whole / 2, F.lit(0.0)))
 
 
-def judge(measured: DataFrame) -> DataFrame:
-    """``measured`` with ``kept``. It is read twice: pass a written table."""
-    found = materialize(references(measured), "quality-references")
+def judge(measured: DataFrame, found: DataFrame) -> DataFrame:
+    """``measured`` with ``kept``, by the references ``found``."""
     overall = found.where("lang = '*'").select(F.struct("chars", "words", "rest").alias("r")).first()
     everyone = F.lit(None)
     if overall:
@@ -156,7 +179,8 @@ def judge(measured: DataFrame) -> DataFrame:
         words = F.map_from_arrays(F.array(*map(F.lit, r["words"])), F.array(*map(F.lit, r["words"].values()))) if r["words"] else F.create_map().cast("map<string,double>")
         everyone = F.struct(F.array(*map(F.lit, r["chars"])).alias("chars"), words.alias("words"), F.lit(r["rest"]).alias("rest"))
     by_lang = found.where("lang <> '*'").select(F.col("lang").alias("_lang"), F.struct("chars", "words", "rest").alias("_own"))
-    df = measured.join(broadcast_if_small(by_lang, 4096), F.col("lang") == F.col("_lang"), "left")
+    lang = F.col("lang") if "lang" in measured.columns else F.lit(None).cast("string")
+    df = measured.join(broadcast_if_small(by_lang, 4096), lang == F.col("_lang"), "left")
     q, reference = F.col("quality"), F.coalesce(F.col("_own"), everyone)
     chars = F.when(_total(q["chars"]) >= MIN_CHARS, char_distance(q, reference))
     words = F.when(q["n_words"] >= MIN_COMMON_WORDS, word_distance(q, reference))

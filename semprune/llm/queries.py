@@ -63,7 +63,9 @@ def op2_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = quality.measures(_table(spark, sf_dir, "documents")).select("doc_id", "lang", "quality")
-    judged = quality.judge(materialize(measured, "measures"))
+    measured, path = materialize(measured, "measures"), scratch_path(spark, "references")
+    quality.write_references(quality.references(quality.trusted(measured, _table(spark, sf_dir, "labels"))), path)
+    judged = quality.judge(measured, quality.read_references(spark, path))
     q = F.col("quality")
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged.select("doc_id", *[q[n].alias(n) for n in names], quality.base_failed(q).alias("base_failed"), "kept")

@@ -7,6 +7,8 @@ from semprune.llm import mixing as mixes
 from semprune.llm import vector_codes as codes
 from semprune.llm import warc as archives
 
+SETTLED = 100
+
 
 def _list(values: list[str]) -> str:
     return ", ".join(f"'{v}'" for v in values)
@@ -32,7 +34,7 @@ base AS (SELECT cut.id, doc_id, lang, len(words) AS n_words, c0 - c1 + c2 AS wor
   len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
   [c0 - c1, c1 - c2, c2 - c3, c3 - c4, c4] AS chars, c0 AS n_chars, found FROM cut LEFT JOIN covered USING (id)),
 m AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEATED_PERCENT} * n_words AS base_failed FROM base),
-good AS (SELECT *, unnest([lang, '*']) AS l FROM m WHERE NOT base_failed),
+good AS (SELECT *, unnest([lang, '*']) AS l FROM m WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
 docs AS (SELECT l, count(*) AS docs FROM good WHERE l IS NOT NULL GROUP BY l),
 rc AS (SELECT l, i, avg(chars[i] / n_chars) AS q FROM good CROSS JOIN range(1, {n + 1}) r(i) GROUP BY l, i),
 bins AS (SELECT id, w, count(*) AS n FROM (SELECT id, unnest(found) AS w FROM m) GROUP BY id, w),
@@ -74,18 +76,15 @@ def url_trust(rules: list[trust.Rule]) -> str:
     fits = lambda r: f"(host = '{r[1]}' OR ends_with(host, '.{r[1]}')) AND starts_with(path, '{r[2]}')"
     case = lambda value: "CASE " + " ".join(f"WHEN {fits(r)} THEN '{value(r)}'" for r in longest) + " END"
 
-    def rounds(name: str, seed: str, edges: str) -> str:
-        steps = [f"{name}0 AS (SELECT host, {seed} AS seed, {seed} AS score, host IN (SELECT src FROM {edges}) AS passes FROM nodes)"]
-        steps += [
-            f"""{name}{i + 1} AS (SELECT host, seed, {1 - trust.DAMPING} * seed + {trust.DAMPING} * (CASE WHEN passes THEN 0 ELSE score END + coalesce(got, 0)) AS score, passes
-FROM {name}{i} LEFT JOIN (SELECT dst AS host, sum(score * weight) AS got FROM {edges} JOIN {name}{i} ON src = host GROUP BY dst) USING (host))"""
-            for i in range(trust.ROUNDS)
-        ]
-        return ",\n".join(steps)
+    def scores(name: str, seed: str, edges: str) -> str:
+        """Far more rounds than scores need to settle; an edge of weight 0 keeps each host in them."""
+        return f"""{name}_edges AS (SELECT src, dst, weight FROM {edges} UNION ALL SELECT host, host, 0 FROM nodes),
+{name}(round, host, score) AS (SELECT 0, host, {seed} FROM nodes UNION ALL
+  SELECT round + 1, dst, any_value({seed}) + {trust.DAMPING} * sum(weight * score) FROM {name} JOIN {name}_edges ON src = {name}.host JOIN nodes ON nodes.host = dst
+  WHERE round < {SETTLED} GROUP BY round, dst)"""
 
-    last = trust.ROUNDS
     return rf"""
-WITH placed AS (
+WITH RECURSIVE placed AS (
   SELECT page_id, html, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{trust.ASCII_UPPER}', '{trust.ASCII_UPPER.lower()}'), '') AS host,
          coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 ruled AS (SELECT *, {case(lambda r: r[1] + r[2])} AS rule, {case(lambda r: r[0])} AS said FROM placed),
@@ -97,9 +96,9 @@ edges AS (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS weight FROM cou
 back AS (SELECT dst AS src, src AS dst, weight / sum(weight) OVER (PARTITION BY dst) AS weight FROM edges),
 names AS (SELECT host FROM shares UNION SELECT src FROM edges UNION SELECT dst FROM edges),
 nodes AS (SELECT host, coalesce(trusted, 0)::DOUBLE AS trusted, coalesce(blocked, 0)::DOUBLE AS blocked FROM names LEFT JOIN shares USING (host)),
-{rounds("t", "trusted", "edges")},
-{rounds("d", "blocked", "back")},
-suspects AS (SELECT host FROM t{last} JOIN d{last} USING (host) WHERE d{last}.score > greatest(t{last}.score, {trust.THRESHOLD}))
+{scores("t", "trusted", "edges")},
+{scores("d", "blocked", "back")},
+suspects AS (SELECT t.host FROM t JOIN d USING (host, round) WHERE round = {SETTLED} AND d.score > greatest(t.score, {trust.THRESHOLD}))
 SELECT page_id, host, path, rule, coalesce(said, CASE WHEN host IN (SELECT host FROM suspects) THEN 'block' ELSE 'allow' END) AS verdict FROM ruled
 """
 
@@ -136,7 +135,9 @@ hurt AS (SELECT conv_id, turn, CASE fate WHEN 4 THEN 'user' ELSE role END AS rol
   FROM plain JOIN checked USING (name), range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)),
 convs AS (SELECT conv_id, row_number() OVER () AS c FROM (SELECT DISTINCT conv_id FROM conversations)),
 placed AS (SELECT c, turn, role, text, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS pos FROM hurt JOIN convs ON hurt.conv_id IS NOT DISTINCT FROM convs.conv_id),
-told AS (SELECT *, left(role, 1) AS initial, regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS ending,
+told AS (SELECT *, left(role, 1) AS initial, regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS ending,
   row_number() OVER (PARTITION BY c, role, text ORDER BY pos) AS copy, lead(left(role, 1)) OVER (PARTITION BY c ORDER BY pos) AS next FROM placed),
 judged AS MATERIALIZED (SELECT *, CASE WHEN ending = '' THEN 'blank' WHEN copy > 1 THEN 'duplicate' WHEN ending NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM told),
 gap(a, b, gap_cost, gap_letters) AS (VALUES {values(gaps)}),
@@ -175,7 +176,8 @@ def mixing() -> str:
     weights = ", ".join(f"({i}, {w})" for i, w in enumerate(mixes.WEIGHTS))
     coin = f"('0x' || substr(md5('{mixes.SEED}:' || key || ':' || number), 1, {mixes.COIN_DIGITS}))::BIGINT::DOUBLE / {float(16**mixes.COIN_DIGITS)!r}"
     return rf"""
-WITH rows AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS size,
+WITH rows AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS size,
   md5(coalesce(doc_id::VARCHAR, '') || ':' || {known("source")} || ':' || {known("text")}) AS key FROM documents),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY key) - 1 AS number FROM rows),
 sums AS (SELECT source, sum(size)::BIGINT AS words, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM rows GROUP BY source),

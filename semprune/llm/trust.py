@@ -2,14 +2,15 @@
 
 Trust is a personalised PageRank from hosts whose pages the rules allow, along links. Distrust is
 the same from hosts whose pages the rules block, against the links: who links to a blocked host is
-suspect. A seed weighs as the share of its pages that a rule allows (or blocks). A host whose
+suspect. A seed weighs as the share of its pages that a rule allows (or blocks). Scores are those of PageRank over
+``1 - damping``, so that a host has its own seed plus what is left of the scores of its neighbours, and a host without links has its seed;
+what a host without outgoing links would pass on is lost. Rounds go on until no score changes by ``TOLERANCE``. A host whose
 distrust exceeds its trust and a threshold is blocked; a rule for a page always goes first. All
 steps are DataFrame operations; a round is one join and one sum over distinct host edges, so a page
 that links a thousand times or a host with a third of all pages adds one weight to an edge.
 
 Defined cases: a missing url, or one without ``://``, has an empty host and path and no rule; an
-empty host takes no part in the graph and is allowed; missing html has no links; a host without links
-keeps its seed. Repeated rows are judged each. Columns of any name are kept, but for those set here.
+empty host takes no part in the graph and is allowed; missing html has no links. Repeated rows are judged each. Columns of any name are kept, but for those set here.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from semprune.llm.common import broadcast_if_small
 from semprune.session import materialize
 
 DAMPING = 0.85
-ROUNDS = 10
+TOLERANCE = 1e-4
 THRESHOLD = 0.1
 
 #: (verdict, host, start of the path)
@@ -60,26 +61,27 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return materialize(counted.join(totals, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("weight")), "host-edges")
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """(host, score): personalised PageRank; ``seeds`` is (host, seed), ``edges`` (src, dst, weight).
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+    """(host, score): seed plus ``damping`` times the scores that edges bring; ``seeds`` is (host, seed), ``edges`` (src, dst, weight).
 
-    A host without outgoing edges keeps what it has, so that an isolated seed scores its own weight.
+    Weights of a source sum to one, so the sum of all changes falls by ``damping`` a round.
     """
-    ends = edges.select(F.col("src").alias("host")).distinct().withColumn("passes", F.lit(True))
-    hosts = seeds.select("host").unionByName(edges.select(F.col("dst").alias("host"))).unionByName(edges.select(F.col("src").alias("host"))).distinct()
-    base = hosts.join(seeds, "host", "left").join(ends, "host", "left")
-    base = materialize(base.select("host", F.coalesce("seed", F.lit(0.0)).alias("seed"), F.coalesce("passes", F.lit(False)).alias("passes")), "host-seeds")
+    ends = edges.select(F.explode(F.array("src", "dst")).alias("host"))
+    hosts = seeds.select("host").unionByName(ends).distinct()
+    base = materialize(hosts.join(seeds, "host", "left").select("host", F.coalesce("seed", F.lit(0.0)).alias("seed")), "host-seeds")
     scores = base.select("host", F.col("seed").alias("score"))
-    for _ in range(rounds):
+    while True:
         sent = edges.join(scores.withColumnRenamed("host", "src"), "src").select(F.col("dst").alias("host"), (F.col("score") * F.col("weight")).alias("part"))
         got = sent.groupBy("host").agg(F.sum("part").alias("got"))
-        own = F.when(F.col("passes"), 0.0).otherwise(F.col("score"))
-        moved = base.join(scores, "host").join(got, "host", "left").select("host", ((1 - damping) * F.col("seed") + damping * (own + F.coalesce("got", F.lit(0.0)))).alias("score"))
-        scores = materialize(moved, "host-scores")
-    return scores
+        moved = base.join(scores, "host").join(got, "host", "left")
+        moved = moved.select("host", F.col("score").alias("before"), (F.col("seed") + damping * F.coalesce("got", F.lit(0.0))).alias("score"))
+        moved = materialize(moved, "host-scores")
+        scores = moved.select("host", "score")
+        if (moved.agg(F.max(F.abs(F.col("score") - F.col("before")))).first()[0] or 0.0) < tolerance:
+            return scores
 
 
-def judge_pages(pages: DataFrame, rules: list[Rule], threshold: float = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
+def judge_pages(pages: DataFrame, rules: list[Rule], threshold: float = THRESHOLD) -> DataFrame:
     """``pages`` with host, path, rule and verdict (allow or block)."""
     url = F.col("url")
     kept = [F.col(f"`{c}`") for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
@@ -95,8 +97,8 @@ def judge_pages(pages: DataFrame, rules: list[Rule], threshold: float = THRESHOL
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
     incoming = back.groupBy("src").agg(F.sum("weight").alias("total"))
     back = materialize(back.join(incoming, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("weight")), "host-edges-back")
-    trust = propagate(hosts.select("host", F.col("trusted").alias("seed")), edges, rounds)
-    distrust = propagate(hosts.select("host", F.col("blocked").alias("seed")), back, rounds)
+    trust = propagate(hosts.select("host", F.col("trusted").alias("seed")), edges)
+    distrust = propagate(hosts.select("host", F.col("blocked").alias("seed")), back)
     scores = trust.withColumnRenamed("score", "trust").join(distrust.withColumnRenamed("score", "distrust"), "host", "full")
     suspects = scores.where(F.coalesce("distrust", F.lit(0.0)) > F.greatest(F.coalesce("trust", F.lit(0.0)), F.lit(threshold)))
     suspects = materialize(suspects.select(F.col("host").alias("_host")), "host-suspects")

@@ -30,15 +30,26 @@ def edited(r, text, n):
     return text
 
 
+def same_words(item, text, at):
+    """The item at this place, and no letter or digit joined to its own first or last one."""
+    word = lambda c: c.isalpha() or c.isnumeric()
+    before, behind = text[:at][-1:], text[at + len(item) :][:1]
+    return text.startswith(item, at) and not (before and word(before) and word(item[0])) and not (behind and word(behind) and word(item[-1]))
+
+
 def planted():
     r = random.Random(3)
     word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randint(1, 6)))
     prose = lambda n: " ".join(word() for _ in range(n))
-    items = [(i, prose(r.randint(12, 50)).capitalize()) for i in range(12)] + [(99, "short"), (98, None), (97, ""), (0, prose(20))]
+    items = [(i, prose(r.randint(12, 50)).capitalize()) for i in range(12)] + [(99, "shorT"), (98, None), (97, ""), (96, " \n"), (0, prose(20))]
+    items += [(100 + n, ("What is two plus two? Four, or five or so")[:n]) for n in range(1, 41)] + [(150, "a"), (151, "?!"), (152, prose(3)), (153, prose(5))]
     texts = [prose(60) for _ in range(20)]
     for i, text in items[:12]:
         for n in (0, 1, len(text) // 20, len(text) // 20 + 3, len(text) // 8):
             texts.append(prose(20) + "  " + edited(r, text, n).replace(" ", " \n", 2) + " " + prose(10))
+    for i, text in items[18:]:
+        if text:
+            texts += [f"{prose(5)} {text}, {prose(3)}", f"{prose(3)}{text}{prose(2)}", text.upper(), text[1:] + " " + text[:-1]]
     texts.append(items[0][1] + prose(3000) + items[1][1])
     return items, texts
 
@@ -52,9 +63,13 @@ def test_all_items_within_budget_are_found(spark):
         text = d.normal(r.text)
         for item_id, item in items:
             item = d.normal(item)
-            if len(item) >= d.MIN_CHARS and (item in text or (len(text) < 2000 and distance(item, text) <= len(item) // d.CHARS_PER_EDIT)):
+            if 0 < len(item) < 32:
+                found = any(same_words(item, text, at) for at in range(len(text)))
+            else:
+                found = item and (item in text or (len(text) < 2000 and distance(item, text) <= len(item) // 20))
+            if found:
                 expected.add((r.doc_id, item_id))
-    assert len(expected) > 60
+    assert len(expected) > 150
     for block in (d.BLOCK_BYTES, 500):
         found = d.find_items(docs, bench, block).collect()
         assert {(r.doc_id, r.item_id) for r in found} == expected

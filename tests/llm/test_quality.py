@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import duckdb
+import pytest
 from edge import LONG, documents, no_documents
 
 from semprune.llm import quality, sql
@@ -36,11 +37,21 @@ def test_measures_are_those_of_brute_force(spark):
         assert {b.word: b.n for b in q.common} == found
 
 
+def labelled(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+def judged_by(docs, labels):
+    rows = materialize(measured(docs), "measures")
+    return quality.judge(rows, quality.references(quality.trusted(rows, labels)))
+
+
 def test_verdicts_equal_sql_on_edge_rows(spark):
     docs = documents(spark, extra=[LONG[:5000], "### *** " * 100, "THE OF AND TO " + LONG[:2000].upper()]).drop("quality", "kept")
-    judged = quality.judge(materialize(measured(docs), "measures"))
-    got = sorted((str(r.doc_id), r.quality.n_words, r.kept) for r in judged.collect())
+    labels = labelled(spark, [(i, int(i % 3 > 0), 0) for i in range(0, 40, 2)] + [(8, 1, 1), (None, 1, 0), (5, None, None)])
+    got = sorted((str(r.doc_id), r.quality.n_words, r.kept) for r in judged_by(docs, labels).collect())
     con = duckdb.connect()
+    con.register("labels", labels.toPandas())
     con.register("documents", docs.select("doc_id", "text", "lang").toPandas())
     expected = sorted((str(int(r[0])) if r[0] is not None else "None", r[1], bool(r[2])) for r in con.execute(f"SELECT doc_id::BIGINT, n_words, kept FROM ({sql.quality_rules()})").fetchall())
     assert got == expected
@@ -62,7 +73,7 @@ def test_distance_is_jensen_shannon(spark):
 def test_junk_goes_and_prose_stays(spark):
     path = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{path}/documents.parquet"), spark.read.parquet(f"{path}/labels.parquet")
-    judged = quality.judge(materialize(measured(docs), "measures")).join(labels, "doc_id")
+    judged = judged_by(docs, labels).join(labels, "doc_id")
     rows = judged.select("kept", labels["quality"].alias("label"), "n_chars").collect()
     good = [r.kept for r in rows if r.label == 1 and r.n_chars > 600]
     bad = [r.kept for r in rows if r.label == 0]
@@ -70,6 +81,30 @@ def test_junk_goes_and_prose_stays(spark):
 
 
 def test_no_documents_and_nothing_that_passes(spark):
-    assert quality.judge(materialize(measured(no_documents(spark)), "m")).count() == 0
+    labels = labelled(spark, [(1, 1, 0)])
+    assert judged_by(no_documents(spark), labels).count() == 0
     docs = spark.createDataFrame([(1, "too short", None)], "doc_id long, text string, lang string")
-    assert [r.kept for r in quality.judge(materialize(measured(docs), "m")).collect()] == [False]
+    assert [r.kept for r in judged_by(docs, labels).collect()] == [False]
+    assert [r.kept for r in judged_by(docs.drop("lang"), labels.limit(0)).collect()] == [False]
+
+
+def test_other_rows_change_no_verdict(spark, tmp_path):
+    path = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{path}/documents.parquet"), spark.read.parquet(f"{path}/labels.parquet")
+    alone = {r.doc_id: r.kept for r in judged_by(docs, labels).collect()}
+    junk = docs.selectExpr("doc_id + 100000 AS doc_id", "translate(text, 'etaoin', '######') AS text", "lang", "source", "n_chars")
+    together = {r.doc_id: r.kept for r in judged_by(docs.unionByName(junk).unionByName(junk), labels).where("doc_id < 100000").collect()}
+    assert alone == together and 0 < sum(alone.values()) < len(alone)
+
+
+def test_references_are_written_with_a_version(spark, tmp_path):
+    rows = materialize(measured(documents(spark, extra=[LONG[:3000]])), "measures")
+    found = quality.references(rows)
+    for name in "ab":
+        quality.write_references(found, str(tmp_path / name))
+    version = [spark.read.parquet(str(tmp_path / n)).select("version").first()[0] for n in "ab"]
+    assert version[0] == version[1]
+    read = quality.read_references(spark, str(tmp_path / "a"), version[0])
+    assert {r.lang: r.rest for r in read.collect()} == {r.lang: r.rest for r in found.collect()}
+    with pytest.raises(ValueError, match="version"):
+        quality.read_references(spark, str(tmp_path / "a"), "0")
