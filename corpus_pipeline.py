@@ -5,43 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from semprune.llm import decontaminate, line_dedup, packing, quality, shingles
+from semprune.llm import decontaminate, line_dedup, packing, quality, simhash
 from semprune.llm.common import broadcast_if_small
-from semprune.session import materialize, ship_package
+from semprune.session import materialize, scratch_path, ship_package
 
-#: Near copies have a Jaccard similarity of 0.8 or more of their sets of five-word shingles.
-NEAR_SHINGLE_WORDS = 5
-#: What that is in fingerprints, for tests that compare groups with them: nested sets of similarity 0.8 have cosine
-#: sqrt(0.8) and differ in 15% of all bits, 76 of eight words of 64, and hardly ever in over 108 (four deviations), however spread over words.
-NEAR_PRINT_WORDS = 8
-NEAR_BUDGET = 64
-NEAR_TOTAL = 108
 
-
-def _same_columns(df: DataFrame, docs: DataFrame) -> DataFrame:
-    return df.select(*[F.col(f"`{c}`") for c in docs.columns])
+def _carried(docs: DataFrame, *names: str) -> DataFrame:
+    """Each document whole in ``doc``, beside the columns that an operator reads; names that it sets do not meet those of documents."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    return rows.select("doc", *[F.col(f"doc.{n}").alias(n) for n in names if n in docs.columns])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    judged = quality.judge(materialize(quality.measures(docs), "measured"))
-    return _same_columns(judged.where("kept"), docs)
+    """Documents that the quality rules keep, by references fitted to the documents labelled as good."""
+    measured = materialize(quality.measures(_carried(docs, "doc_id", "text", "lang")).drop("text"), "measured")
+    path = scratch_path(spark, "references")
+    quality.write_references(quality.references(quality.trusted(measured, spark.read.parquet(f"{sf_dir}/labels.parquet"))), path)
+    return quality.judge(measured, quality.read_references(spark, path)).where("kept").select("doc.*")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that match an earlier one; a document of which no word is left goes."""
-    left = line_dedup.dedup_lines(docs)
-    emptied = (F.size("removed_lines") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    left = left.where(~emptied)
+    found = materialize(line_dedup.removed_lines(docs.select("doc_id", "text")), "lines-removed")
+    both = line_dedup.removed_of(docs, found).withColumn("left", line_dedup.without_lines(F.col("doc.text"), F.col("gone")))
+    emptied = (F.size("gone") > 0) & ~F.col("left").rlike(r"[^\x20\x09-\x0D]")
+    new = F.col("doc").withField("text", F.col("left"))
     if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.when(F.size("removed_lines") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return _same_columns(left, docs)
+        new = new.withField("n_chars", F.length("left").cast(docs.schema["n_chars"].dataType))
+    doc = F.when(F.size("gone") > 0, new).otherwise(F.col("doc"))
+    return both.where(~emptied).select(doc.alias("doc")).select("doc.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    rows = materialize(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "numbered")
-    found = shingles.near_copies(rows.select("row", "doc.text"), "row", NEAR_SHINGLE_WORDS)
+    """One document of each group that fingerprints link."""
+    rows = materialize(_carried(docs, "text").select("doc", "text", F.monotonically_increasing_id().alias("row")).drop("text"), "numbered")
+    found = simhash.near_copies(rows.select("row", "doc.text"), "row")
     copies = materialize(found.where("id <> component").select(F.col("id").alias("row")), "near-copies")
     return rows.join(broadcast_if_small(copies, 16), "row", "left_anti").select("doc.*")
 
