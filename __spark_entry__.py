@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 import oracle
 from semprune.functions.text import whitespace_tokens
 from semprune.functions.vectors import is_zero_vector, l2_normalize
-from semprune.operators import checks, chunk, clusters, embed, ids, kmeans, merge, prune, quantiles, shards
+from semprune.operators import checks, chunk, clusters, embed, ids, kmeans, merge, prune, quantiles, shards, subwords, token_states
 from semprune.operators.assign import assign_nearest
 from semprune.operators.centroid_index import assign_indexed
 from semprune.operators.kmeans_bounds import fit_kmeans_bounded
@@ -43,6 +43,7 @@ N_SHARDS = 4
 N_SUBSETS = 4
 CHUNK_SIZE = 126
 INSTRUCTION = "query: "
+VOCABULARY = "piece_bpe_32k.model"
 DIM = 64
 
 
@@ -594,6 +595,14 @@ def q_plugin_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _chunk_rows(chunk.chunk_documents(_documents(spark, sf_dir), 1000, tokenizer=tokenizer))
 
 
+def q_subword_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks of subword pieces, the instruction behind the first special token."""
+    import public_tokenizers
+
+    tokenizer = subwords.word_pieces(spark, f"file://{public_tokenizers.path(VOCABULARY)}")
+    return _chunk_rows(chunk.chunk_documents(_documents(spark, sf_dir), CHUNK_SIZE, INSTRUCTION, tokenizer))
+
+
 def q_chunk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk.chunk_counts(chunk.chunk_documents(_documents(spark, sf_dir), CHUNK_SIZE))
 
@@ -619,6 +628,12 @@ def q_chunk_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _components(embed.chunk_vectors(chunks, embed.HashedWords(DIM)), "uid", "chunk")
 
 
+def q_token_state_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of token states over the real tokens, in micro-batches of chunks of like length."""
+    chunks = chunk.chunk_documents(_documents(spark, sf_dir), CHUNK_SIZE)
+    return _components(embed.chunk_vectors(chunks, token_states.HashedContext(DIM)), "uid", "chunk")
+
+
 def q_document_mean_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean over the chunk vectors of a document, before normalisation."""
     chunks = chunk.chunk_documents(_documents(spark, sf_dir), CHUNK_SIZE)

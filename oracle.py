@@ -364,6 +364,14 @@ SELECT v.doc_id AS uid, n_chunks, pos, round((value / greatest(n, 1e-12))::FLOAT
 FROM doc_vec v JOIN norms USING (doc_id) JOIN n_chunks USING (doc_id)
 """,
         "chunk_vectors": f"WITH {CHUNK_COUNTS} SELECT doc_id AS uid, chunk, pos, round(value, 9) AS value FROM chunk_vec",
+        "token_state_vectors": f"""
+WITH {TOKENS},
+words AS (SELECT doc_id, len(words) AS total, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS place FROM tokens),
+spots AS (SELECT doc_id, (place // {CHUNK})::INT AS chunk, place % {CHUNK} AS at, least({CHUNK}, total - place // {CHUNK} * {CHUNK}) AS n,
+  (('0x' || substr(md5(word), 1, 8))::BIGINT % {DIM})::INT AS pos FROM words)
+SELECT doc_id AS uid, chunk, pos, round(sum(1 + CASE WHEN at > 0 THEN 0.5 ELSE 0 END + CASE WHEN at < n - 1 THEN 0.5 ELSE 0 END)::DOUBLE / max(n), 9) AS value
+FROM spots GROUP BY doc_id, chunk, pos
+""",
         "document_mean_vector": f"WITH {CHUNK_COUNTS} SELECT doc_id AS uid, pos, round(value, 9) AS value FROM doc_vec",
         "text_length": f"""
 WITH {TOKENS} SELECT d.doc_id, length(d.text)::INT AS length, len(words)::INT AS n_tokens FROM documents d JOIN tokens USING (doc_id)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from semprune.functions.names import keep_name
 from semprune.functions.vectors import is_zero_vector
-from semprune.operators import checks, chunk, clusters, embed, ids, kmeans, merge, prune, quantiles, shards
+from semprune.operators import checks, chunk, clusters, embed, ids, kmeans, merge, prune, quantiles, shards, subwords, token_states
 from semprune.operators.assign import assign_nearest
 from semprune.operators.centroid_index import assign_indexed
 from semprune.operators.kmeans_bounds import fit_kmeans_bounded
@@ -22,6 +22,14 @@ from semprune.sources import matrix, sinks, tables
 from semprune.sources.paths import children, exists
 
 
+MODELS = embed.EMBEDDERS | {"hashed_context": token_states.HashedContext}
+
+
+def _tokenizer(spark: SparkSession, name: str, vocabulary: str | None) -> chunk.Tokenizer:
+    """A tokenizer by name, or subword pieces of a vocabulary file."""
+    return subwords.word_pieces(spark, vocabulary) if vocabulary else chunk.TOKENIZERS[name]
+
+
 def chunk_job(
     spark: SparkSession,
     documents: str,
@@ -33,10 +41,11 @@ def chunk_job(
     index_key: str | None = None,
     split: str | None = None,
     file_format: str = "parquet",
+    vocabulary: str | None = None,
 ) -> None:
-    """Documents -> token chunks."""
+    """Documents -> token chunks; with ``vocabulary``, a file of subword pieces, instead of ``tokenizer``."""
     docs = tables.read_documents(spark, documents, file_format, split, index_key=index_key)
-    cut = chunk.chunk_documents(docs, chunk_size, instruction, chunk.TOKENIZERS[tokenizer], uid_key)
+    cut = chunk.chunk_documents(docs, chunk_size, instruction, _tokenizer(spark, tokenizer, vocabulary), uid_key)
     cut.write.parquet(output)
 
 
@@ -54,14 +63,15 @@ def embed_job(
     index_key: str | None = None,
     split: str | None = None,
     file_format: str = "parquet",
+    vocabulary: str | None = None,
 ) -> DataFrame:
-    """Documents -> ``output/vectors`` (idx, uid, embedding) and ``output/ids`` (idx, uid).
+    """Documents -> ``output/vectors`` (idx, uid, embedding) and ``output/ids`` (idx, uid); ``vocabulary`` as for chunks.
 
     Returns the report on zero and broken vectors; broken ones fail the job.
     """
     docs = tables.read_documents(spark, documents, file_format, split, index_key=index_key)
     vectors = embed.embed_documents(
-        docs, embed.EMBEDDERS[model](dim), chunk_size, instruction, chunk.TOKENIZERS[tokenizer], uid_key, batch_size=batch_size
+        docs, MODELS[model](dim), chunk_size, instruction, _tokenizer(spark, tokenizer, vocabulary), uid_key, batch_size=batch_size
     )
     vectors.write.parquet(f"{output}/vectors")
     written = spark.read.parquet(f"{output}/vectors")
