@@ -10,6 +10,7 @@ from __future__ import annotations
 import importlib.util
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 import oracle
 from semprune.functions.text import whitespace_tokens
 from semprune.functions.vectors import is_zero_vector, l2_normalize
-from semprune.operators import checks, chunk, clusters, embed, ids, kmeans, merge, prune, quantiles, shards, subwords, token_states
+from semprune.operators import checks, chunk, clusters, embed, ids, kept_pages, kmeans, merge, prune, quantiles, shards, sketches, subwords, token_states
 from semprune.operators.assign import assign_nearest
 from semprune.operators.centroid_index import assign_indexed
 from semprune.operators.kmeans_bounds import fit_kmeans_bounded
@@ -29,7 +30,7 @@ from semprune.operators.similarity import max_similarity, new_similarity
 from semprune.operators.similarity_pruned import max_similarity_pruned
 from semprune.plans import jobs
 from semprune.session import materialize, scratch_path, ship_package
-from semprune.sources import matrix, sinks, tables
+from semprune.sources import layout, matrix, sinks, tables
 
 #: The corpus operators are an optional part; what else is here works without them.
 WITH_LLM = importlib.util.find_spec("semprune.llm") is not None
@@ -41,6 +42,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 KEEP = 0.8
 N_SHARDS = 4
 N_SUBSETS = 4
+N_BUCKETS = 8
 CHUNK_SIZE = 126
 INSTRUCTION = "query: "
 VOCABULARY = "piece_bpe_32k.model"
@@ -297,6 +299,14 @@ def q_max_similarity_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("cid", "ord", "uid", _digits("sim").alias("sim"))
 
 
+def q_max_similarity_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members and vectors from tables that join without a shuffle."""
+    vectors = _vectors(spark, sf_dir)
+    name = f"scores_{uuid.uuid4().hex}"
+    members, stored = layout.write_colocated(_labelled(vectors), vectors, name, scratch_path(spark, "colocated"), N_BUCKETS)
+    return max_similarity(members, stored).select("cid", "ord", "uid", _digits("sim").alias("sim"))
+
+
 def q_max_similarity_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same scores with tiles of neighbours, most of which bounds rule out."""
     vectors = _vectors(spark, sf_dir)
@@ -370,6 +380,17 @@ def q_prune_stats_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prune.source_totals(_judged(spark, sf_dir)).withColumn("mean_length", _digits("mean_length"))
 
 
+def q_prune_stats_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals that a pruning job observes while it writes, read back."""
+    root = scratch_path(spark, "observed")
+    scores = _label_scores(spark, sf_dir)
+    scores.write.parquet(f"{root}/scores/similarity")
+    quantiles.quantiles(scores).write.parquet(f"{root}/scores/quantiles")
+    jobs.prune_job(spark, f"{sf_dir}/documents.parquet", f"{root}/scores", f"{root}/out", KEEP, uid_key="doc_id", index_key="doc_id")
+    names = "n_samples long, mean_length double, found long, not_found long, no_uid long, removed long"
+    return spark.read.schema(names).json(f"{root}/out/statistics/totals").withColumn("mean_length", _digits("mean_length"))
+
+
 def q_prune_not_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without a similarity."""
     return _judged(spark, sf_dir).where(F.col("status") == "not_found").select(F.col("uid").alias("doc_id"), "source")
@@ -558,6 +579,35 @@ def q_merge_threshold_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("kept_share", _digits("kept_share"))
 
 
+def q_sketch_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact quantiles, and whether they lie between the bounds that the merged sketches of the shards give."""
+    scores = _sharded_scores(spark, sf_dir)
+    stored = materialize(sketches.sketches(scores, ["shard"]), "sketches")
+    found = sketches.sketch_quantiles(sketches.merge_sketches(stored))
+    both = quantiles.quantiles(scores).join(found.select("q", "low", "high"), "q")
+    return both.select("q", _digits("value").alias("value"), F.col("value").between(F.col("low"), F.col("high")).alias("within"))
+
+
+def _kept_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = _sharded_scores(spark, sf_dir)
+    merged = quantiles.merge_quantiles(quantiles.shard_quantiles(scores, [KEEP]))
+    return materialize(kept_pages.kept_pages(scores, quantiles.threshold_at(merged, KEEP)), "kept-pages")
+
+
+def q_kept_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged kept set, from the stored bits of the shards."""
+    return kept_pages.page_uids(kept_pages.merged_pages(_kept_pages(spark, sf_dir)))
+
+
+def q_kept_pages_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kept_pages.page_counts(_kept_pages(spark, sf_dir)).withColumn("kept_share", _digits("kept_share"))
+
+
+def q_prune_to_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = kept_pages.merged_pages(_kept_pages(spark, sf_dir))
+    return prune.prune_to_pages(_documents(spark, sf_dir), pages, "doc_id").select("doc_id", "source", "n_chars")
+
+
 def q_sharded_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two shards through the jobs: clusters, their merged lists, similarities, their merged scores."""
     vectors = _vectors(spark, sf_dir)

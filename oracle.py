@@ -203,6 +203,7 @@ SELECT vec_id AS uid FROM embeddings ORDER BY ('0x' || substr(md5(vec_id || ':12
         "kmeans_assign_saved": f"WITH {NEAREST} SELECT cid, count(*) AS n FROM nearest GROUP BY cid",
         "max_similarity": f"WITH {LABEL_SCORES} SELECT cid, ord, uid, round(sim, 6) AS sim FROM sims",
         "max_similarity_tiles": f"WITH {LABEL_SCORES} SELECT cid, ord, uid, round(sim, 6) AS sim FROM sims",
+        "max_similarity_colocated": f"WITH {LABEL_SCORES} SELECT cid, ord, uid, round(sim, 6) AS sim FROM sims",
         "max_similarity_pruned": f"WITH {LABEL_SCORES} SELECT cid, ord, uid, round(sim, 6) AS sim FROM sims",
         "max_similarity_by_shard": f"""
 WITH twice AS (SELECT vec_id * 2 + a AS uid, label AS cid, embedding::DOUBLE[] AS v, CASE a WHEN 0 THEN vec_id % 4 ELSE 4 END AS shard FROM embeddings CROSS JOIN range(2) r(a)),
@@ -237,6 +238,13 @@ SELECT count(*) FILTER (status = 'kept') AS n_samples, round(avg(len) FILTER (st
        count(*) FILTER (status <> 'not_found') AS found, count(*) FILTER (status = 'not_found') AS not_found,
        count(*) FILTER (doc_id IS NULL) AS no_uid, count(*) FILTER (status = 'removed') AS removed
 FROM judged
+""",
+        "prune_stats_written": f"""
+WITH {JUDGED}
+SELECT count(*) FILTER (status = 'kept') AS n_samples, round(avg(len) FILTER (status = 'kept'), 6) AS mean_length,
+       count(*) FILTER (status <> 'not_found') AS found, count(*) FILTER (status = 'not_found') AS not_found,
+       count(*) FILTER (doc_id IS NULL) AS no_uid, count(*) FILTER (status = 'removed') AS removed
+FROM judged
 """,
         "prune_stats_by_source": f"""
 WITH {JUDGED} SELECT source, count(*) AS n_samples, round(avg(len), 6) AS mean_length FROM judged WHERE status = 'kept' GROUP BY source
@@ -336,6 +344,14 @@ rows AS ({quantile_rows("sharded", "shard")})
 SELECT q, round(sum(value * n) / sum(n), 6) AS value FROM rows JOIN sizes USING (shard) GROUP BY q
 """,
         "merged_quantiles_exact": f"WITH {SHARDED}, rows AS ({quantile_rows('sharded')}) SELECT q, round(value, 6) AS value FROM rows",
+        "sketch_quantiles": f"WITH {SHARDED}, rows AS ({quantile_rows('sharded')}) SELECT q, round(value, 6) AS value, true AS within FROM rows",
+        "kept_pages": f"WITH {KEPT} SELECT uid FROM kept",
+        "kept_pages_counts": f"""
+WITH {KEPT}
+SELECT count(*) FILTER (sim < t) AS kept, count(*) FILTER (NOT sim < t) AS removed,
+       round(count(*) FILTER (sim < t) / count(*), 6) AS kept_share, (SELECT count(*) FROM kept) AS distinct_kept FROM sharded, lim
+""",
+        "prune_to_pages": f"WITH {KEPT} SELECT doc_id, source, n_chars FROM documents WHERE doc_id IN (SELECT uid FROM kept)",
         "merge_similarities_last": f"WITH {SHARDED} SELECT uid, round(arg_max(sim, shard), 6) AS sim FROM sharded GROUP BY uid",
         "merge_similarities_max": f"WITH {SHARDED} SELECT uid, round(max(sim), 6) AS sim FROM sharded GROUP BY uid",
         "merge_threshold_kept": f"WITH {KEPT} SELECT uid FROM kept",
@@ -367,9 +383,9 @@ FROM doc_vec v JOIN norms USING (doc_id) JOIN n_chunks USING (doc_id)
         "token_state_vectors": f"""
 WITH {TOKENS},
 words AS (SELECT doc_id, len(words) AS total, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS place FROM tokens),
-spots AS (SELECT doc_id, (place // {CHUNK})::INT AS chunk, place % {CHUNK} AS at, least({CHUNK}, total - place // {CHUNK} * {CHUNK}) AS n,
+spots AS (SELECT doc_id, (place // {CHUNK})::INT AS chunk, place % {CHUNK} AS spot, least({CHUNK}, total - place // {CHUNK} * {CHUNK}) AS n,
   (('0x' || substr(md5(word), 1, 8))::BIGINT % {DIM})::INT AS pos FROM words)
-SELECT doc_id AS uid, chunk, pos, round(sum(1 + CASE WHEN at > 0 THEN 0.5 ELSE 0 END + CASE WHEN at < n - 1 THEN 0.5 ELSE 0 END)::DOUBLE / max(n), 9) AS value
+SELECT doc_id AS uid, chunk, pos, round(sum(1 + CASE WHEN spot > 0 THEN 0.5 ELSE 0 END + CASE WHEN spot < n - 1 THEN 0.5 ELSE 0 END)::DOUBLE / max(n), 9) AS value
 FROM spots GROUP BY doc_id, chunk, pos
 """,
         "document_mean_vector": f"WITH {CHUNK_COUNTS} SELECT doc_id AS uid, pos, round(value, 9) AS value FROM doc_vec",

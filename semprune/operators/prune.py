@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from semprune.functions.names import keep_name
@@ -122,14 +122,22 @@ def _in_bitmap(uids: DataFrame, documents: DataFrame, uid: Column) -> tuple[Data
         return None
     position = F.bitmap_bit_position("uid")
     pages = uids.groupBy(F.bitmap_bucket_number("uid").alias("_page")).agg(F.bitmap_construct_agg(position).alias("_bits"))
-    pages = materialize(pages, "kept-bitmap")
+    return _marked(documents, uid, materialize(pages, "kept-bitmap"))
+
+
+def _bit(bits: str, uid: Column) -> Column:
+    """Whether the bit of ``uid`` is set in its page."""
+    bit = F.bitmap_bit_position(uid)
+    byte = F.conv(F.hex(F.substring(bits, (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(F.getbit(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1, F.lit(False))
+
+
+def _marked(documents: DataFrame, uid: Column, pages: DataFrame) -> tuple[DataFrame, Column] | None:
+    """``documents`` with the written ``pages(_page, _bits)`` of their uids, and the membership test; None beyond the limit."""
     if pages.count() * BITMAP_PAGE > BITMAP_LIMIT:
         return None
     marked = documents.withColumn("_page", F.bitmap_bucket_number(uid)).join(F.broadcast(pages), "_page", "left")
-    bit = F.bitmap_bit_position(uid)
-    byte = F.conv(F.hex(F.substring("_bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    inside = F.coalesce(F.getbit(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1, F.lit(False))
-    return marked, inside
+    return marked, _bit("_bits", uid)
 
 
 def _by_index(uids: DataFrame, documents: DataFrame, uid: Column) -> tuple[DataFrame, Column] | None:
@@ -158,6 +166,93 @@ def prune_to_set(documents: DataFrame, kept_uids: DataFrame, uid_key: str | None
     return documents.join(kept, uid == F.col("_uid"), "left_semi")
 
 
+def prune_to_pages(documents: DataFrame, pages: DataFrame, uid_key: str | None = None) -> DataFrame:
+    """The documents whose uid is set in ``pages(page, bits)``, as stored; pages are looked up, not unpacked."""
+    uid = uid_column(documents, uid_key).cast("long")
+    stored = materialize(pages.select(F.col("page").alias("_page"), F.col("bits").alias("_bits")), "kept-pages")
+    found = _marked(documents, uid, stored)
+    if found is None:
+        marked = documents.withColumn("_page", F.bitmap_bucket_number(uid)).join(stored, "_page")
+        found = marked, _bit("_bits", uid)
+    return found[0].where(found[1]).select(*documents.columns)
+
+
+def _statuses(documents: DataFrame, keeps: DataFrame, uid: Column) -> DataFrame:
+    """``documents`` with ``_status``; texts stay where they are as long as two bitmaps (known, kept) are small enough."""
+
+    def by_bits(of: DataFrame, value: Column) -> DataFrame | None:
+        if of.schema["uid"].dataType.typeName() not in ("byte", "short", "integer", "long"):
+            return None
+        place = F.bitmap_bit_position("uid")
+        pages = of.groupBy(F.bitmap_bucket_number("uid").alias("_page")).agg(
+            F.bitmap_construct_agg(place).alias("_known"), F.bitmap_construct_agg(F.when(F.col("keep"), place)).alias("_kept")
+        )
+        pages = materialize(pages, "keep-bitmaps")
+        if 2 * pages.count() * BITMAP_PAGE > BITMAP_LIMIT:
+            return None
+        marked = documents.withColumn("_page", F.bitmap_bucket_number(value)).join(F.broadcast(pages), "_page", "left")
+        keep = F.when(_bit("_known", value), _bit("_kept", value))
+        return marked.withColumn("_status", status_column(uid, keep)).drop("_page", "_known", "_kept")
+
+    found = by_bits(keeps, uid)
+    if found is None and "idx" in documents.columns:
+        narrow = documents.select("idx", uid.alias("uid")).where(F.col("uid").isNotNull())
+        found = by_bits(materialize(narrow.join(keeps, "uid").select(F.col("idx").alias("uid"), "keep"), "keeps-by-index"), F.col("idx"))
+    if found is None:
+        known = keeps.select(F.col("uid").alias("_uid"), "keep")
+        found = documents.join(known, uid == F.col("_uid"), "left").withColumn("_status", status_column(uid, F.col("keep"))).drop("_uid", "keep")
+    return found
+
+
+#: Sources that are counted while documents are written.
+OBSERVED_SOURCES = 64
+
+
+class ObservedPrune:
+    """The kept documents, and the statistics that fall out of writing them once.
+
+    ``kept`` must be written (or run otherwise) once; then ``totals`` and ``source_totals`` are those of ``totals`` and
+    ``source_totals`` of this module, without a second pass over the documents. A write that failed
+    says nothing: make a new object for the next try. Sources are listed first, from their column alone; with more than
+    ``OBSERVED_SOURCES`` of them, ``source_totals`` is None.
+    """
+
+    def __init__(self, documents: DataFrame, keeps: DataFrame, uid_key: str | None = None, source_key: str | None = None, text_key: str = "text"):
+        self.spark = documents.sparkSession
+        self.sources: list | None = []
+        if source_key and source_key in documents.columns:
+            listed = documents.select(F.col(source_key).alias("source")).where("source IS NOT NULL").distinct().limit(OBSERVED_SOURCES + 1)
+            found = sorted(r.source for r in listed.collect())
+            self.sources = found if len(found) <= OBSERVED_SOURCES else None
+            self._source_type = documents.schema[source_key].dataType.simpleString()
+        marked = _statuses(documents, keeps.select("uid", "keep"), uid_column(documents, uid_key))
+        status, length = F.col("_status"), F.length(text_key)
+        is_kept = status == "kept"
+        counts = [F.count_if(status == name).alias(name) for name in ("kept", "removed", "not_found", "no_uid")]
+        counts.append(F.sum(F.when(is_kept, length)).alias("length"))
+        for i, source in enumerate(self.sources or []):
+            own = is_kept & (F.col(source_key) == F.lit(source))
+            counts += [F.count_if(own).alias(f"n{i}"), F.sum(F.when(own, length)).alias(f"length{i}")]
+        self._observation = Observation()
+        self.kept = marked.observe(self._observation, *counts).where(is_kept).select(*[F.col(f"`{c}`") for c in documents.columns])
+
+    def totals(self) -> DataFrame:
+        """One row, as ``totals``."""
+        x = self._observation.get
+        mean = x["length"] / x["kept"] if x["kept"] else None
+        row = (x["kept"], mean, x["kept"] + x["removed"], x["not_found"], x["no_uid"], x["removed"])
+        return self.spark.createDataFrame([row], "n_samples long, mean_length double, found long, not_found long, no_uid long, removed long")
+
+    def source_totals(self) -> DataFrame | None:
+        """A row for each source with kept documents, as ``source_totals``."""
+        if self.sources is None:
+            return None
+        x = self._observation.get
+        rows = [(s, x[f"n{i}"], x[f"length{i}"] / x[f"n{i}"]) for i, s in enumerate(self.sources) if x[f"n{i}"]]
+        kind = self._source_type if self.sources else "string"
+        return self.spark.createDataFrame(rows, f"source {kind}, n_samples long, mean_length double")
+
+
 def prune_documents(documents: DataFrame, keeps: DataFrame, uid_key: str | None = None) -> DataFrame:
     """The kept documents with all their columns."""
     return prune_to_set(documents, keeps.where("keep").select("uid"), uid_key)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from semprune.functions.names import keep_name
 from semprune.functions.vectors import is_zero_vector
-from semprune.operators import checks, chunk, clusters, embed, ids, kmeans, merge, prune, quantiles, shards, subwords, token_states
+from semprune.operators import checks, chunk, clusters, embed, ids, kept_pages, kmeans, merge, prune, quantiles, shards, sketches, subwords, token_states
 from semprune.operators.assign import assign_nearest
 from semprune.operators.centroid_index import assign_indexed
 from semprune.operators.kmeans_bounds import fit_kmeans_bounded
@@ -212,6 +212,7 @@ def similarity_job(
     written = spark.read.parquet(f"{output}/similarity")
     checks.require(checks.check_similarity_labels(listed, written), "similarities per label")
     quantiles.quantiles(written, points).coalesce(1).write.parquet(f"{output}/quantiles")
+    sketches.sketches(written).coalesce(1).write.parquet(f"{output}/sketch")
 
 
 def merge_similarity_job(
@@ -222,11 +223,18 @@ def merge_similarity_job(
     rule: str = "last",
     exact: bool = True,
     delete_inputs: bool = False,
+    sketch: bool = False,
 ) -> None:
-    """Shard directories of scores -> one score per uid and quantiles, exact or merged by shard size."""
+    """Shard directories of scores -> one score per uid and quantiles, exact or merged by shard size.
+
+    With ``sketch``, quantiles come from the sketches stored with the shards, with the scores between which exact ones lie.
+    """
     rows = tables.read_shards(spark, scores, table="similarity")
     merge.resolve_duplicates(rows, rule).write.parquet(f"{output}/similarity")
-    table = quantiles.quantiles(rows, points) if exact else quantiles.merge_quantiles(quantiles.shard_quantiles(rows, points))
+    if sketch:
+        table = sketches.sketch_quantiles(sketches.merge_sketches(tables.read_shards(spark, scores, table="sketch")), points)
+    else:
+        table = quantiles.quantiles(rows, points) if exact else quantiles.merge_quantiles(quantiles.shard_quantiles(rows, points))
     table.coalesce(1).write.parquet(f"{output}/quantiles")
     if delete_inputs:
         sinks.remove_inputs(spark, [scores], [f"{output}/similarity", f"{output}/quantiles"])
@@ -241,6 +249,8 @@ def merge_threshold_job(
     table = materialize(table.coalesce(1), "quantiles")
     threshold = quantiles.threshold_at(table, keep)
     target = sinks.write_kept_set(merge.kept_set(rows, threshold), keep, output)
+    if rows.schema["uid"].dataType.typeName() in ("byte", "short", "integer", "long"):
+        kept_pages.kept_pages(rows, threshold).write.parquet(f"{output}/pages")
     table.write.parquet(f"{output}/quantiles")
     merge.kept_counts(rows, threshold).coalesce(1).write.json(f"{output}/counts")
     if delete_inputs:
@@ -288,21 +298,24 @@ def prune_job(
     """
     docs = tables.read_documents(spark, documents, file_format, split, index_key=index_key)
     source = spark.read.format(file_format).load(documents).schema
+    write = lambda df: sinks.write_like(df, output, source, split, file_format, compression, max_records_per_file)
     if kept_set:
         uids = spark.read.parquet(kept_set).select("uid").distinct()
         keeps = uids.withColumn("keep", F.lit(True))
-        totals = prune.set_totals(docs, uids, uid_key)
+        target = write(prune.prune_documents(docs, keeps, uid_key))
+        judged = materialize(prune.judge(docs, keeps, uid_key, source_key), "judged")
+        sinks.write_statistics(prune.set_totals(docs, uids, uid_key), prune.source_totals(judged), f"{output}/statistics")
+        return target
+    threshold = quantiles.threshold_at(spark.read.parquet(f"{scores}/quantiles"), keep)
+    if flags:
+        similarity = spark.read.parquet(f"{scores}/{keep_name(keep)}").withColumnRenamed("keep", "sim")
     else:
-        threshold = quantiles.threshold_at(spark.read.parquet(f"{scores}/quantiles"), keep)
-        if flags:
-            similarity = spark.read.parquet(f"{scores}/{keep_name(keep)}").withColumnRenamed("keep", "sim")
-        else:
-            similarity = spark.read.parquet(f"{scores}/similarity")
-        keeps = materialize(prune.keep_map(merge.resolve_duplicates(similarity, rule), threshold), "keeps")
-        totals = None
-    target = sinks.write_like(
-        prune.prune_documents(docs, keeps, uid_key), output, source, split, file_format, compression, max_records_per_file
-    )
-    judged = materialize(prune.judge(docs, keeps, uid_key, source_key), "judged")
-    sinks.write_statistics(totals or prune.totals(judged), prune.source_totals(judged), f"{output}/statistics")
+        similarity = spark.read.parquet(f"{scores}/similarity")
+    keeps = materialize(prune.keep_map(merge.resolve_duplicates(similarity, rule), threshold), "keeps")
+    pruned = prune.ObservedPrune(docs, keeps, uid_key, source_key)
+    target = write(pruned.kept)
+    by_source = pruned.source_totals()
+    if by_source is None:
+        by_source = prune.source_totals(prune.judge(docs, keeps, uid_key, source_key))
+    sinks.write_statistics(pruned.totals(), by_source, f"{output}/statistics")
     return target
