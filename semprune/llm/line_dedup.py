@@ -10,7 +10,10 @@ so copies never meet; up to ``EQUAL_WORDS`` words nothing else is similar. Simil
 classes meet by prefix word, and length, positional and bitmap bounds drop nearly all pairs that cannot be
 similar; each bound is exact. A class needs one earlier match only: a word proposes the
 earliest few partners first, these are verified on the texts, and the next round proposes further ones for
-classes that have none yet, until none are left. A crowd of n near-equal lines thus costs about n pairs.
+classes that have none yet, until none are left. A crowd of n near-equal lines thus has about n pairs verified. A task keeps no more than
+the earliest partners that its round wants. The lines of a very frequent prefix word are dealt over tiles, each pair of tiles a
+group of its own, and what the groups say of a line is put together; which words are frequent is told by a sample, on which
+only the dealing depends.
 
 Defined cases: a missing text is empty; rows equal in id and text are one document and get one decision; a missing
 id comes last; lines are cut at ``\\n`` and read whole. Where documents are returned, columns of any name are kept.
@@ -36,10 +39,18 @@ EQUAL_WORDS = 3
 BUCKET_BITS = 20
 SLICES = 64
 #: Partners of a class that a word proposes by round: from, up to.
-ROUNDS = ((0, 1), (1, 32), (32, 1 << 62))
+ROUNDS = ((0, 1), (1, 32), (32, 1 << 10), (1 << 10, 1 << 15), (1 << 15, 1 << 62))
 KEPT_LINES = 300_000
 BYTES_AT_ONCE = 1_000_000
 PAIRS_AT_ONCE = 2_000_000
+#: Pairs a task keeps before it drops those beyond the earliest.
+PAIRS_KEPT = 4_000_000
+#: A word with more lines is dealt over tiles, of so many lines at least and at most where there are many.
+TILE_LINES = 512
+TILES = 16
+MOST_TILE_LINES = 8192
+#: One class in so many tells how many lines a word has.
+COUNTED = 16
 WIDEST = 65535
 
 LINES = "doc_id long, doc_hash long, line int, k1 long, k2 long, k3 long, size int, prefix array<int>"
@@ -199,59 +210,114 @@ def _likely(i: np.ndarray, j: np.ndarray, size: np.ndarray, at: np.ndarray, bits
     return left[(apart <= (a + b - 2 * needed)[left]) | wide[left]]
 
 
-def _propose(batches: Iterator[pa.RecordBatch], begin: int, end: int) -> Iterator[pa.RecordBatch]:
-    tables = [b for b in batches if b.num_rows]
-    if not tables:
-        return
-    table = pa.Table.from_batches(tables)
+def _earliest(i: np.ndarray, j: np.ndarray, cid: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, rank): partners of each line at a word, earliest first, one more than ``end`` at most."""
+    order = np.lexsort((cid[i], j))
+    i, j = i[order], j[order]
+    rank = np.arange(len(j)) - np.searchsorted(j, j, "left")
+    near = rank <= end
+    return i[near], j[near], rank[near]
+
+
+def _pairs(table: pa.Table, end: int) -> tuple[np.ndarray, ...]:
+    """(word, cid, i, j, rank) with lines i and j by place, from all lines of the groups of a task."""
     packed = table.column("packed").to_numpy().view(np.uint64)
-    # by word, then by size: only lines of similar size are paired
-    order = np.argsort(packed >> np.uint64(16), kind="stable")
-    packed = packed[order]
-    word = packed >> np.uint64(32)
+    tiled = "tiles" in table.column_names
+    group = np.unique(np.stack([packed >> np.uint64(32), table.column("tiles").to_numpy().view(np.uint64)]), axis=1, return_inverse=True)[1].astype(np.uint64) if tiled else packed >> np.uint64(32)
+    # by group, then by size: only lines of similar size are paired
+    key = group << np.uint64(16) | (packed >> np.uint64(16) & np.uint64(WIDEST))
+    order = np.argsort(key, kind="stable")
+    packed, group, key = packed[order], group[order], key[order]
     cid, asks = table.column("cid").to_numpy()[order], table.column("open").to_numpy(zero_copy_only=False)[order]
+    side = table.column("side").to_numpy()[order] if tiled else None
     bits = [table.column(k).to_numpy().view(np.uint64)[order] for k in ("k2", "k3")]
     size = (packed >> np.uint64(16) & np.uint64(WIDEST)).astype(np.int32)
     at = (packed & np.uint64(WIDEST)).astype(np.int32)
     least = np.where(size == WIDEST, 0, (4 * size + 4) // 5).astype(np.uint64)
-    first = np.searchsorted(packed >> np.uint64(16), (word << np.uint64(16)) | least)
-    total = np.cumsum(np.arange(len(word)) - first)
-    found_i, found_j = [], []
+    first = np.searchsorted(key, (group << np.uint64(16)) | least)
+    total = np.cumsum(np.arange(len(key)) - first)
+    found_i, found_j, held = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], 0
     low = 0
-    while low < len(word):
+    while low < len(key):
         base = total[low - 1] if low else 0
         high = max(low + 1, int(np.searchsorted(total, base + PAIRS_AT_ONCE, "right")))
         n = np.arange(low, high) - first[low:high]
         b = np.repeat(np.arange(low, high, dtype=np.int32), n)
         a = (np.arange(len(b)) + np.repeat(first[low:high] - (np.cumsum(n) - n), n)).astype(np.int32)
+        if tiled:
+            # lines of one of two different tiles meet in a group of their own
+            some = (side[a] != side[b]) | (side[a] == BOTH)
+            a, b = a[some], b[some]
         some = _likely(a, b, size, at, bits)
         a, b = a[some], b[some]
         later = np.where(cid[a] > cid[b], a, b)
         some = asks[later] & (cid[a] != cid[b])
         found_j.append(later[some])
         found_i.append((a + b - later)[some])
+        held += len(found_j[-1])
         low = high
-    i, j = np.concatenate(found_i), np.concatenate(found_j)
-    # partners of a line at a word, earliest first
-    order = np.lexsort((cid[i], j))
-    i, j = i[order], j[order]
-    rank = np.arange(len(j)) - np.searchsorted(j, j, "left")
+        if held > PAIRS_KEPT:
+            i, j, _ = _earliest(np.concatenate(found_i), np.concatenate(found_j), cid, end)
+            found_i, found_j, held = [i], [j], 0
+    return packed >> np.uint64(32), cid, *_earliest(np.concatenate(found_i), np.concatenate(found_j), cid, end)
+
+
+def _propose(batches: Iterator[pa.RecordBatch], begin: int, end: int) -> Iterator[pa.RecordBatch]:
+    tables = [b for b in batches if b.num_rows]
+    if not tables:
+        return
+    word, cid, i, j, rank = _pairs(pa.Table.from_batches(tables), end)
     wanted, more = (rank >= begin) & (rank < end), np.unique(j[rank >= end])
     pairs = np.unique(np.stack([cid[i[wanted]], cid[j[wanted]]]), axis=1)
     left = np.concatenate([pairs[0], -1 - word[more].astype(np.int64)])
     yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(np.concatenate([pairs[1], cid[more]]))], ["i", "j"])
 
 
+def _propose_tiled(batches: Iterator[pa.RecordBatch], end: int) -> Iterator[pa.RecordBatch]:
+    tables = [b for b in batches if b.num_rows]
+    if tables:
+        word, cid, i, j, _ = _pairs(pa.Table.from_batches(tables), end)
+        yield pa.RecordBatch.from_arrays([pa.array(word[j].astype(np.int64)), pa.array(cid[j]), pa.array(cid[i])], ["word", "j", "i"])
+
+
 def word_of(packed: str) -> Column:
     return F.shiftrightunsigned(packed, 32)
 
 
+#: Side of a line in a group that is one tile.
+BOTH = 2
+
+
+def frequent_words(words: DataFrame) -> DataFrame:
+    """(word, n_tiles) of the words that are dealt over tiles, written."""
+    few = words.where(F.pmod(F.xxhash64("cid"), F.lit(COUNTED)) == 0).groupBy(word_of("packed").alias("word")).agg((F.count("*") * COUNTED).alias("n"))
+    tiles = F.greatest(F.least(F.ceil(F.col("n") / TILE_LINES), F.lit(TILES)), F.ceil(F.col("n") / MOST_TILE_LINES))
+    return materialize(few.where(F.col("n") > TILE_LINES).select("word", F.least(tiles, F.lit(1 << 20)).cast("long").alias("n_tiles")), "words-frequent")
+
+
 def propose(words: DataFrame, begin: int, end: int) -> DataFrame:
     """(i, j): earlier partners number ``begin`` to ``end`` of each open class at each word.
 
     Where a class has more partners at a word, there is a row with i = -1 - word.
     """
-    return words.repartition(word_of("packed")).mapInArrow(lambda b: _propose(b, begin, end), PAIRS).distinct()
+    alone = lambda rows: rows.repartition(word_of("packed")).mapInArrow(lambda b: _propose(b, begin, end), PAIRS)
+    frequent = frequent_words(words)
+    if not frequent.limit(1).count():
+        return alone(words).distinct()
+    listed = broadcast_if_small(frequent.withColumnRenamed("word", "frequent"), 24)
+    rare = words.join(listed, word_of("packed") == F.col("frequent"), "left_anti")
+    rows = words.join(listed, word_of("packed") == F.col("frequent"))
+    own = F.pmod(F.xxhash64("cid"), "n_tiles")
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_tiles") - 1)))
+    pair = F.shiftleft(F.least("own", "other"), 20).bitwiseOR(F.greatest("own", "other"))
+    side = F.when(F.col("own") == F.col("other"), BOTH).otherwise((F.col("own") > F.col("other")).cast("int"))
+    rows = rows.select("cid", "k2", "k3", "packed", "open", pair.alias("tiles"), side.alias("side"))
+    found = rows.repartition(word_of("packed"), "tiles").mapInArrow(lambda b: _propose_tiled(b, end), "word long, j long, i long")
+    whole = found.groupBy("word", "j").agg(F.sort_array(F.collect_set("i")).alias("all"))
+    chosen = F.slice("all", begin + 1, min(end, 1 << 30) - begin)
+    more = F.when(F.size("all") > min(end, 1 << 30), F.array(-1 - F.col("word"))).otherwise(F.array().cast("array<long>"))
+    tiled = whole.select(F.explode(F.concat(chosen, more)).alias("i"), "j")
+    return alone(rare).unionByName(tiled).distinct()
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -76,6 +76,24 @@ def test_rounds_make_no_difference(spark):
     assert sorted(r.cid for r in few.distinct().collect()) == sorted(r.cid for r in once.distinct().collect())
 
 
+def test_tiles_and_kept_pairs_make_no_difference(spark, monkeypatch):
+    docs = materialize(spark.createDataFrame(list(enumerate(crowd())), "doc_id long, text string"), "docs")
+    classes = materialize(ld.line_classes(materialize(ld.judged_lines(docs, ld.rarity(docs)), "lines")), "classes")
+    plain = sorted(r.cid for r in ld.dropped_classes(classes, docs).distinct().collect())
+    for name, value in (("COUNTED", 1), ("TILE_LINES", 5), ("TILES", 3), ("MOST_TILE_LINES", 20), ("PAIRS_KEPT", 10), ("PAIRS_AT_ONCE", 50)):
+        monkeypatch.setattr(ld, name, value)
+    for rounds in (ld.ROUNDS, ((0, 1), (1, 2), (2, 7), (7, 1 << 62))):
+        assert sorted(r.cid for r in ld.dropped_classes(classes, docs, rounds).distinct().collect()) == plain
+
+
+def test_a_crowd_of_near_equal_lines(spark):
+    n = 3000
+    shared = " ".join(f"common{i}" for i in range(30))
+    texts = [f"{shared} only{i} {'again' if i % 2 else 'ever'}" for i in range(n)]
+    docs = materialize(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4), "docs")
+    assert {r.doc_id: list(r.removed_lines) for r in ld.dedup_lines(docs).collect()} == {i: [0] if i else [] for i in range(n)}
+
+
 def test_repeated_rows_are_one_document(spark):
     text = "some words that make a line of more than eight words\n" * 2
     docs = materialize(spark.createDataFrame([(1, text), (1, text), (2, text), (None, text)], "doc_id long, text string"), "docs")
