@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracle
+from semprune.functions.names import kept_set_name
 from semprune.functions.text import whitespace_tokens
 from semprune.functions.vectors import is_zero_vector, l2_normalize
 from semprune.operators import checks, chunk, clusters, embed, ids, kept_pages, kmeans, merge, prune, quantiles, shards, sketches, subwords, token_states
@@ -623,6 +624,61 @@ def q_sharded_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/members").select("cid", "ord", "uid").join(merged, "uid")
 
 
+# --- jobs: run, and what they wrote read back ---------------------------------------------------------
+
+
+def q_job_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "job-chunks")
+    jobs.chunk_job(spark, f"{sf_dir}/documents.parquet", out, CHUNK_SIZE, INSTRUCTION, uid_key="doc_id", index_key="doc_id")
+    return _chunk_rows(spark.read.parquet(out))
+
+
+def q_job_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors and their ids, joined by the index both were written with."""
+    out = scratch_path(spark, "job-vectors")
+    jobs.embed_job(spark, f"{sf_dir}/documents.parquet", out, dim=DIM, chunk_size=CHUNK_SIZE, instruction=None, uid_key="doc_id", index_key="doc_id")
+    vectors = spark.read.parquet(f"{out}/vectors").drop("uid")
+    return _components(vectors.join(spark.read.parquet(f"{out}/ids"), "idx"), "uid", "n_chunks", digits=5)
+
+
+def q_job_merge_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "job-shards")
+    rows = _shard_rows(_vectors(spark, sf_dir)).withColumnRenamed("shard", "file")
+    for shard in range(N_SHARDS):
+        mine = materialize(rows.where(F.col("file") == f"shard_{shard}").drop("file"), "shard-rows")
+        mine.select("idx", "uid", "embedding").write.parquet(f"{root}/in/shard_{shard}/vectors")
+        mine.select("idx", "uid").write.parquet(f"{root}/in/shard_{shard}/ids")
+    jobs.merge_embeddings_job(spark, f"{root}/in", f"{root}/in", f"{root}/merged")
+    merged = spark.read.parquet(f"{root}/merged")
+    return merged.select("shard", "idx", "uid", _digits(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x)).alias("total"))
+
+
+def q_job_regroup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "job-subsets")
+    vectors = _vectors(spark, sf_dir)
+    _labelled(vectors).write.parquet(f"{root}/members")
+    vectors.select("uid", "embedding", _shard_name(F.col("uid")).alias("shard")).write.partitionBy("shard").parquet(f"{root}/vectors")
+    jobs.regroup_job(spark, f"{root}/members", f"{root}/vectors", f"{root}/subsets", n_clusters=10, n_subsets=N_SUBSETS)
+    return spark.read.parquet(f"{root}/subsets").select(F.col("subset").cast("int").alias("subset"), "cid", "subset_idx", "uid")
+
+
+def q_job_merge_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kept set at the exact threshold over all shards."""
+    root = scratch_path(spark, "job-scores")
+    scores = _sharded_scores(spark, sf_dir)
+    for shard in ("a_label", "b_nearest"):
+        scores.where(F.col("shard") == shard).drop("shard").write.parquet(f"{root}/in/{shard}/similarity")
+    jobs.merge_threshold_job(spark, f"{root}/in", f"{root}/kept", KEEP)
+    return spark.read.parquet(f"{root}/kept/{kept_set_name(KEEP)}")
+
+
+def q_job_invert_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "job-ids")
+    ids.id_map(_documents(spark, sf_dir), "source").write.parquet(f"{root}/ids")
+    jobs.invert_ids_job(spark, f"{root}/ids", f"{root}/inverted")
+    return spark.read.parquet(f"{root}/inverted")
+
+
 # --- text -------------------------------------------------------------------------------------------
 
 

@@ -144,7 +144,7 @@ def kmeans(k: int, n_iter: int, seed: int, source: str = "embeddings") -> str:
 
 
 def statements() -> dict[str, str]:
-    return {
+    stated = {
         "semantic_prune": f"""
 WITH {NEAREST_SCORES}, lim AS (SELECT quantile_cont(sim, {KEEP}) AS t FROM near_sims)
 SELECT d.doc_id, d.lang, d.source, d.n_chars FROM documents d JOIN near_sims s ON s.uid = d.doc_id CROSS JOIN lim WHERE s.sim < lim.t
@@ -345,6 +345,7 @@ SELECT q, round(sum(value * n) / sum(n), 6) AS value FROM rows JOIN sizes USING
 """,
         "merged_quantiles_exact": f"WITH {SHARDED}, rows AS ({quantile_rows('sharded')}) SELECT q, round(value, 6) AS value FROM rows",
         "sketch_quantiles": f"WITH {SHARDED}, rows AS ({quantile_rows('sharded')}) SELECT q, round(value, 6) AS value, true AS within FROM rows",
+        "job_merge_threshold": f"WITH {SHARDED}, lim AS (SELECT quantile_cont(sim, {KEEP}) AS t FROM sharded) SELECT DISTINCT uid FROM sharded, lim WHERE sim < t",
         "kept_pages": f"WITH {KEPT} SELECT uid FROM kept",
         "kept_pages_counts": f"""
 WITH {KEPT}
@@ -380,6 +381,7 @@ SELECT v.doc_id AS uid, n_chunks, pos, round((value / greatest(n, 1e-12))::FLOAT
 FROM doc_vec v JOIN norms USING (doc_id) JOIN n_chunks USING (doc_id)
 """,
         "chunk_vectors": f"WITH {CHUNK_COUNTS} SELECT doc_id AS uid, chunk, pos, round(value, 9) AS value FROM chunk_vec",
+        "job_chunk": chunk_rows(CHUNK - 1, "query:"),
         "token_state_vectors": f"""
 WITH {TOKENS},
 words AS (SELECT doc_id, len(words) AS total, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS place FROM tokens),
@@ -448,3 +450,6 @@ r AS (SELECT count(*) AS n_vectors, count(*) FILTER (n2 = 0) AS n_zero, 0::BIGIN
 SELECT *, n_not_unit = 0 AS ok FROM r
 """,
     }
+    # a job writes what an operator gives
+    same = {"job_embed": "hashed_embedding", "job_merge_embeddings": "merge_embeddings", "job_regroup": "regroup_members", "job_invert_ids": "invert_ids"}
+    return stated | {job: stated[name] for job, name in same.items()}
