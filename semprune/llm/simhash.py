@@ -1,7 +1,7 @@
 """Near copies by SimHash: all fingerprints within a few bits of each other, linked exactly.
 
-A fingerprint is one or more words of 64 bits, each from shingle hashes mixed anew. A bit is set if more than half of the hashes have it. Fingerprints link if one of their words differs in at most ``budget`` bits
-and all words together in at most ``total`` bits. Words within ``budget`` bits agree wholly on at least one
+A fingerprint has 64 bits; a bit is set if more than half of the shingle hashes have it. Fingerprints link if they differ in
+at most ``budget`` bits. They then agree wholly on at least one
 of ``budget + 1`` blocks, so a fingerprint goes, once for each block, to the binary trie whose first bits are that block. Inside a trie,
 pairs of nodes go down together, from both roots to the leaves, adding up the bits in which they
 differ; a pair beyond the budget is dropped with all below it. A pair of nodes whose leaves are
@@ -70,29 +70,16 @@ def fingerprint(hashes: list[int] | np.ndarray) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
 
-def long_fingerprint(hashes: list[int], words: int) -> list[int]:
-    """The plain fingerprint, followed by those of the hashes mixed with 1, 2, ..."""
-    out = [fingerprint(hashes)]
-    values = np.array(hashes, np.uint64)
-    for k in range(1, words):
-        x = values * np.uint64((k * 0x9E3779B97F4A7C15 | 1) & 0xFFFFFFFFFFFFFFFF)
-        x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        out.append(fingerprint(x ^ (x >> np.uint64(29))))
-    return out
-
-
-def _fingerprints(batches: Iterator[pa.RecordBatch], size: int, words: int) -> Iterator[pa.RecordBatch]:
+def _fingerprints(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        prints = np.array([long_fingerprint(shingle_hashes(t.as_py(), size), words) for t in batch.column(1)], np.uint64)
-        offsets = np.arange(0, words * (batch.num_rows + 1), words, dtype=np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(prints.ravel().view(np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["id", "prints"])
+        prints = np.array([fingerprint(shingle_hashes(t.as_py(), size)) for t in batch.column(1)], np.uint64)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["id", "print"])
 
 
-def fingerprints(docs: DataFrame, id_column: str = "doc_id", size: int = SHINGLE_WORDS, words: int = 1) -> DataFrame:
-    """(id, prints): the words of each row's fingerprint, as signed 64-bit numbers."""
+def fingerprints(docs: DataFrame, id_column: str = "doc_id", size: int = SHINGLE_WORDS) -> DataFrame:
+    """(id, print): each row's fingerprint, as a signed 64-bit number."""
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(lambda b: _fingerprints(b, size, words), "id long, prints array<long>")
+    return rows.mapInArrow(lambda b: _fingerprints(b, size), "id long, print long")
 
 
 def as_hex(value: Column) -> Column:
@@ -132,19 +119,13 @@ def _leaf_pairs(a0, a1, b0, b1) -> tuple[np.ndarray, np.ndarray]:
     return a0[which] + at // wide[which], b0[which] + at % wide[which]
 
 
-def link_leaves(values: np.ndarray, group: np.ndarray, budget: int, prints: np.ndarray | None = None, total: int = 64) -> np.ndarray:
-    """Component label of each leaf; ``values`` (uint64) ascend within each run of equal ``group``.
-
-    With ``prints``, all words of each leaf, a link also needs at most ``total`` bits in all words.
-    """
+def link_leaves(values: np.ndarray, group: np.ndarray, budget: int) -> np.ndarray:
+    """Component label of each leaf; ``values`` (uint64) ascend within each run of equal ``group``."""
     n = len(values)
     label = np.arange(n)
 
     def close(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        near = np.bitwise_count(values[i] ^ values[j]) <= budget
-        if prints is not None and near.any():
-            near[near] = np.bitwise_count(prints[i[near]] ^ prints[j[near]]).sum(axis=1, dtype=np.int64) <= total
-        return near
+        return np.bitwise_count(values[i] ^ values[j]) <= budget
 
     if n < 2:
         return label
@@ -201,36 +182,33 @@ def link_leaves(values: np.ndarray, group: np.ndarray, budget: int, prints: np.n
     return label
 
 
-def _trie_join(batches: Iterator[pa.RecordBatch], budget: int, total: int) -> Iterator[pa.RecordBatch]:
+def _trie_join(batches: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.RecordBatch]:
     tables = [b for b in batches if b.num_rows]
     if not tables:
         return
     table = pa.Table.from_batches(tables)
     trie, leaf = table.column("trie").to_numpy(), table.column("leaf").to_numpy()
-    prints = pa.concat_arrays([c.flatten() for c in table.column("prints").chunks]).to_numpy().view(np.uint64).reshape(len(trie), -1)
-    value = prints[np.arange(len(trie)), table.column("word").to_numpy()]
+    value = table.column("print").to_numpy().view(np.uint64)
     shift = table.column("shift").to_numpy().astype(np.uint64)
     turned = (value << shift) | np.where(shift > 0, value >> ((np.uint64(64) - shift) % np.uint64(64)), np.uint64(0))
     order = np.lexsort((turned, trie))
     trie, turned, leaf = trie[order], turned[order], leaf[order]
-    label = link_leaves(turned, trie, budget, prints[order] if prints.shape[1] > 1 else None, total)
+    label = link_leaves(turned, trie, budget)
     linked = np.flatnonzero(label != np.arange(len(label)))
     yield pa.RecordBatch.from_arrays([pa.array(leaf[linked]), pa.array(leaf[label[linked]])], ["u", "v"])
 
 
-def close_links(leaves: DataFrame, budget: int = BUDGET, words: int = 1, total: int = 64, tile_leaves: int = TILE_LEAVES) -> DataFrame:
-    """(u, v): links whose closure is that of all linked pairs of ``leaves``, a written table of (leaf, prints)."""
+def close_links(leaves: DataFrame, budget: int = BUDGET, tile_leaves: int = TILE_LEAVES) -> DataFrame:
+    """(u, v): links whose closure is that of all linked pairs of ``leaves``, a written table of (leaf, print)."""
     cut = blocks(budget)
     keys = [
         F.struct(
-            (F.lit(w * len(cut) + i).cast("long") * (1 << 56) + F.shiftrightunsigned(F.shiftleft(F.get("prints", F.lit(w)), first), 64 - bits)).alias("trie"),
+            (F.lit(i).cast("long") * (1 << 56) + F.shiftrightunsigned(F.shiftleft("print", first), 64 - bits)).alias("trie"),
             F.lit(first).cast("long").alias("shift"),
-            F.lit(w).cast("long").alias("word"),
         )
-        for w in range(words)
         for i, (first, bits) in enumerate(cut)
     ]
-    rows = leaves.select("leaf", "prints", F.explode(F.array(*keys)).alias("k")).select("leaf", "prints", "k.trie", "k.shift", "k.word")
+    rows = leaves.select("leaf", "print", F.explode(F.array(*keys)).alias("k")).select("leaf", "print", "k.trie", "k.shift")
     average = leaves.count() * len(cut) / sum(1 << bits for _, bits in cut)
     most = max(tile_leaves, int(TILE_AVERAGES * average))
     large = materialize(rows.groupBy("trie").agg(F.count("*").alias("n")).where(F.col("n") > most), "large-tries")
@@ -241,8 +219,8 @@ def close_links(leaves: DataFrame, budget: int = BUDGET, words: int = 1, total:
         own = F.pmod(F.xxhash64("leaf"), "tiles")
         rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
         pair = F.least("own", "other") * (1 << 40) + F.greatest("own", "other") * (1 << 24)
-        rows = rows.select("leaf", "prints", (F.col("trie") + pair).alias("trie"), "shift", "word")
-    return rows.repartition("trie").mapInArrow(lambda b: _trie_join(b, budget, total), "u long, v long")
+        rows = rows.select("leaf", "print", (F.col("trie") + pair).alias("trie"), "shift")
+    return rows.repartition("trie").mapInArrow(lambda b: _trie_join(b, budget), "u long, v long")
 
 
 # --- components ------------------------------------------------------------------------------
@@ -267,14 +245,15 @@ def components(links: DataFrame) -> DataFrame:
             return roots
 
 
-def near_copies(docs: DataFrame, id_column: str = "doc_id", size: int = SHINGLE_WORDS, budget: int = BUDGET, words: int = 1, total: int = 64) -> DataFrame:
-    """(id, prints, component) for each row; ``component`` is the smallest id of all rows that links reach."""
-    rows = materialize(fingerprints(docs, id_column, size, words), "fingerprints")
-    leaves = rows.groupBy("prints").agg(F.min("id").alias("first")).withColumn("leaf", F.monotonically_increasing_id())
+def near_copies(docs: DataFrame, id_column: str = "doc_id", size: int = SHINGLE_WORDS, budget: int = BUDGET) -> DataFrame:
+    """(id, print, component) for each row; ``component`` is the smallest id of all rows that links reach."""
+    rows = materialize(fingerprints(docs, id_column, size), "fingerprints")
+    leaves = rows.groupBy("print").agg(F.min("id").alias("first")).withColumn("leaf", F.monotonically_increasing_id())
     leaves = materialize(leaves, "leaves")
-    links = materialize(close_links(leaves.select("leaf", "prints"), budget, words, total), "links-found")
+    links = materialize(close_links(leaves.select("leaf", "print"), budget), "links-found")
     roots = components(links)
     known = leaves.join(roots.withColumnRenamed("node", "leaf"), "leaf", "left").withColumn("root", F.coalesce("root", "leaf"))
     named = known.groupBy("root").agg(F.min("first").alias("component"))
-    named = materialize(known.select("prints", "root").join(named, "root").select("prints", "component"), "components")
-    return rows.join(named, "prints").select("id", "prints", "component")
+    named = materialize(known.select("print", "root").join(named, "root").select("print", "component"), "components")
+    # equal texts are one row there, however many rows they have here
+    return rows.join(broadcast_if_small(named, 24), "print").select("id", "print", "component")

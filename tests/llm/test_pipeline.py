@@ -57,8 +57,8 @@ def test_lines_equal_brute_force(stages):
 
 def groups(rows):
     """Group of each text by all pairs of fingerprints."""
-    prints = np.array([[fingerprint(r["text"])] for r in rows], np.uint64)
-    return components(near_matrix(prints, simhash.BUDGET, 64)).tolist()
+    prints = np.array([fingerprint(r["text"]) for r in rows], np.uint64)
+    return components(near_matrix(prints, simhash.BUDGET)).tolist()
 
 
 def test_one_document_of_each_group_stays(stages):
