@@ -160,7 +160,7 @@ def fit_kmeans_bounded(
         plain = spark.createDataFrame([(i, n * k, n * k) for i in range(n_iter)], counts)
         return fit_kmeans(vectors, k, n_iter, seed, broadcast_limit), plain
     embedding = T.StructField("embedding", sample.schema["embedding"].dataType)
-    known = T._parse_datatype_string("cid int, lower double, upper array<double>, products long")
+    known = T.StructType.fromDDL("cid int, lower double, upper array<double>, products bigint")
     state, held, path, report = sample.select("embedding"), None, None, []
     for i in range(n_iter):
         ids, matrix = _matrix(centroids, dim)

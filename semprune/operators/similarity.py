@@ -215,7 +215,7 @@ def max_similarity(
 def _new_distinct(earlier: DataFrame, narrow: DataFrame, vectors: DataFrame) -> DataFrame:
     """Distinct earlier vectors of the clusters that get members, then distinct new ones; ``n_old`` counts the earlier."""
     touched = materialize(narrow.select("cid").distinct(), "clusters-touched")
-    old = join_counts(_with_traits(earlier, vectors), touched, ["cid"])
+    old = _with_traits(join_counts(earlier.select("cid", "ord", "idx", "uid"), touched, ["cid"]), vectors)
     old = _firsts(old).withColumn("copies", F.lit(1).cast("long")).withColumn("old", F.lit(1))
     both = materialize(old.unionByName(_firsts(narrow).withColumn("old", F.lit(0))), "distinct-of-both")
     order = both.groupBy("cid").agg(F.max(F.when(F.col("old") == 1, F.col("ord"))).alias("last"), F.min(F.when(F.col("old") == 0, F.col("ord"))).alias("first"))
