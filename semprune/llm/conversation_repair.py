@@ -201,8 +201,8 @@ def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             _as_list({(a, b): x for a in ((START,) if n == 1 else range(4)) for b, x in segment_paths(codes, a).items()})
             for codes, n in zip(batch.column("codes").to_pylist(), alone, strict=True)
         ]
-        columns = [batch.column(c) for c in (*KEY, "segment")]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(paths, _PATHS_TYPE)], [*KEY, "segment", "paths"])
+        columns = [batch.column(c) for c in (*KEY, "segment", "segments")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(paths, _PATHS_TYPE)], [*KEY, "segment", "segments", "paths"])
 
 
 def _join(table: pa.Table) -> pa.Table:
@@ -225,15 +225,18 @@ def _end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def least_edits(cut: DataFrame) -> DataFrame:
-    """(conv, missing, cost, audit) for each conversation of written ``segments``."""
+    """(conv, missing, cost, audit) for each conversation of written ``segments``; only those of several segments are joined."""
     schema = f"conv long, missing boolean, segment long, paths {_PATHS}"
     counts = cut.groupBy(*KEY).agg(F.count("*").alias("segments"))
     known = cut.select(*KEY, "segment", "codes").join(counts, KEY)
-    paths = materialize(known.mapInArrow(_solve, schema), "segment-paths")
-    while (paths.agg(F.max("segment").alias("last")).first().last or 0) > 0:
+    solved = materialize(known.mapInArrow(_solve, schema.replace("segment long", "segment long, segments long")), "segment-paths")
+    whole = solved.where("segments = 1").select(*KEY, "paths")
+    parts, last = solved.where("segments > 1").drop("segments"), solved.agg(F.max("segment")).first()[0] or 0
+    while last > 0:
         neighbours = F.floor(F.col("segment") / JOINED)
-        paths = materialize(paths.groupBy(*KEY, neighbours.alias("part")).applyInArrow(_join, schema), "segment-paths")
-    return paths.mapInArrow(_end, "conv long, missing boolean, cost long, audit string")
+        parts = materialize(parts.groupBy(*KEY, neighbours.alias("part")).applyInArrow(_join, schema), "segment-paths")
+        last //= JOINED
+    return whole.unionByName(parts.select(*KEY, "paths")).mapInArrow(_end, "conv long, missing boolean, cost long, audit string")
 
 
 def _edits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
