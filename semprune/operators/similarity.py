@@ -91,13 +91,15 @@ def tile_scores(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
 
 
 def tile_height(placed: DataFrame, tile_rows: int | None) -> Column:
+    """Rows of a tile; ``tile_rows`` is the least, as a cluster of many more rows would send each row to as many more tasks."""
+    most = F.greatest(F.lit(1), F.floor(F.lit(TILE_BYTES) / (4 * F.size("embedding"))))
+    aim = F.ceil(F.col("n_distinct") / TILES_AIM)
     if tile_rows:
-        return F.lit(tile_rows)
+        return F.greatest(F.lit(tile_rows).cast("long"), F.least(most, aim))
     pairs = F.col("n_distinct").cast("double") * F.col("n_distinct")
     total = placed.select("cid", "n_distinct").distinct().agg(F.sum(pairs)).first()[0] or 0.0
     share = total / (TASK_SHARES * placed.sparkSession.sparkContext.defaultParallelism)
-    most = F.greatest(F.lit(1), F.floor(F.lit(TILE_BYTES) / (4 * F.size("embedding"))))
-    fine = F.least(most, F.greatest(F.lit(TILE_ROWS), F.ceil(F.col("n_distinct") / TILES_AIM)))
+    fine = F.least(most, F.greatest(F.lit(TILE_ROWS), aim))
     return F.when(pairs > share, fine).otherwise(most)
 
 

@@ -242,6 +242,15 @@ def test_most_tiles_of_clear_neighbourhoods_are_ruled_out(spark):
     assert visited < 0.35 * 600 * 11
 
 
+def test_small_tiles_of_a_large_cluster_are_taken_together(spark):
+    v = random_unit(np.random.default_rng(23), 400, 16)
+    vectors = table(spark, v)
+    scores, visits = similarity_pruned.score_distinct_pruned(_placed(spark, vectors), vectors, 2)
+    np.testing.assert_allclose([r[1] for r in collected(scores, "pos", "sim")], brute_scores([0] * 400, v), rtol=1e-12, atol=1e-12)
+    # 32 tiles of 13 rows and 100 pivots, whereas tiles of two rows would be 400
+    assert 0 < visits.select(F.max(F.size("visited"))).first()[0] <= 132
+
+
 def test_too_many_centres_are_not_sent(spark):
     v = blobs(22, 3, 80, 4, 0.1)
     vectors = table(spark, v)
