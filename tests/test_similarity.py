@@ -74,6 +74,17 @@ def test_tiles_grow_with_the_cluster(spark, skewed, monkeypatch):
         np.testing.assert_allclose([sims[i] for i in range(len(v))], brute_scores(cids, v), atol=1e-12)
 
 
+def test_rows_go_to_a_bounded_number_of_tasks(spark):
+    v = random_unit(np.random.default_rng(6), 400, 8)
+    vectors = vectors_of(spark, zip(range(400), [0] * 400, v))
+    placed = vectors.selectExpr("cid", "idx", "idx AS ord", "1 AS copies", "idx AS pos", "400 AS n_distinct")
+    sent = similarity.tile_rows_of_pairs(placed, vectors, 2).groupBy("pos").count()
+    # tiles of two rows would be 200
+    assert sent.agg({"count": "max"}).first()[0] <= similarity.TILES_AIM
+    sims = scored(spark, zip(range(400), [0] * 400, v), tile_rows=2)
+    np.testing.assert_allclose([sims[i] for i in range(400)], brute_scores([0] * 400, v), rtol=1e-12, atol=1e-12)
+
+
 def test_bounds_and_first_of_cluster(spark, skewed):
     cids, v = skewed
     sims = scored(spark, zip(range(len(v)), cids, v))
