@@ -295,7 +295,9 @@ def q_max_similarity_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     copy = F.explode(F.sequence(F.lit(0), F.lit(2))).alias("copy")
     scaled = F.transform("embedding", lambda x: x.cast("double") * (F.col("idx") % 7))
     rows = vectors.select("idx", copy, scaled.cast("array<float>").alias("embedding"), (F.col("cid") % 3).alias("cid"))
-    rows = rows.select((F.col("idx") + F.col("copy") * 100_000).alias("idx"), "embedding", "cid").withColumn("uid", F.col("idx"))
+    # From 100,000 rows on, copies of different vectors share a uid, so the index counts the copy too; the order is that of the uid.
+    uid = F.col("idx") + F.col("copy") * 100_000
+    rows = rows.select((uid * 3 + F.col("copy")).alias("idx"), uid.alias("uid"), "embedding", "cid")
     scores = max_similarity(_labelled(rows), rows, tile_rows=32)
     return scores.select("cid", "ord", "uid", _digits("sim").alias("sim"))
 

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+import __spark_entry__ as entry
 from helpers import brute_scores, collected, random_unit, vectors_of
 
 from semprune.operators import similarity
@@ -85,6 +86,18 @@ def test_rows_go_to_a_bounded_number_of_tasks(spark):
     np.testing.assert_allclose([sims[i] for i in range(400)], brute_scores([0] * 400, v), rtol=1e-12, atol=1e-12)
 
 
+def test_scaled_query_keeps_copies_of_different_vectors_apart(spark, tmp_path):
+    """Two copies with one uid, as any two vectors have whose ids lie 100,000 apart."""
+    ids = [1, 2, 3, 100_001, 100_002, 200_003]
+    v = random_unit(np.random.default_rng(7), len(ids), 4)
+    rows = [(i, x.tolist(), 0) for i, x in zip(ids, v, strict=True)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    found = sorted((r.ord, r.uid, r.sim) for r in entry.q_max_similarity_scaled(spark, str(tmp_path)).collect())
+    wanted = sorted((i + 100_000 * c, c, (v[k].astype(float) * (i % 7)).astype(np.float32)) for k, i in enumerate(ids) for c in range(3))
+    assert [r[:2] for r in found] == [(k, w[0]) for k, w in enumerate(wanted)]
+    np.testing.assert_allclose([r[2] for r in found], brute_scores([0] * len(wanted), np.array([w[2] for w in wanted])), atol=1e-6)
+
+
 def test_bounds_and_first_of_cluster(spark, skewed):
     cids, v = skewed
     sims = scored(spark, zip(range(len(v)), cids, v))
