@@ -48,6 +48,8 @@ CHUNK_SIZE = 126
 INSTRUCTION = "query: "
 VOCABULARY = "piece_bpe_32k.model"
 DIM = 64
+#: Bytes of the texts of a file that a query writes.
+FILE_BYTES = 64 << 20
 
 
 def _digits(column, n: int = 6):
@@ -453,7 +455,8 @@ def q_read_documents_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in JSON files, numbered by (file, row) after a filter."""
     path = scratch_path(spark, "json-documents")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
-    docs.repartitionByRange(3, "doc_id").sortWithinPartitions("doc_id").write.json(path)
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    docs.repartitionByRange(max(3, -(-n_bytes // FILE_BYTES)), "doc_id").sortWithinPartitions("doc_id").write.json(path)
     return tables.read_documents(spark, path, "json", split="en", split_key="lang").select("idx", "doc_id", F.length("text").alias("length"))
 
 

@@ -1,4 +1,5 @@
 import numpy as np
+import __spark_entry__ as entry
 import pytest
 from helpers import SF, collected, random_unit, vectors_of
 from pyspark.sql import functions as F
@@ -133,3 +134,13 @@ def test_scratch_uses_the_cluster_folder(spark):
     assert session.scratch_path(spark, "x").startswith(root)
     kept = session.materialize(spark.range(5), "numbers")
     assert all(f.split("file:")[-1].lstrip("/").startswith(root.lstrip("/")) for f in kept.inputFiles())
+
+
+def test_files_of_the_json_query_grow_in_number(spark, tmp_path, monkeypatch):
+    rows = [(i, "x" * (50 + i), "en" if i % 3 else "de") for i in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(entry, "FILE_BYTES", 6_000, raising=False)
+    monkeypatch.setattr(entry, "scratch_path", lambda _, name: str(tmp_path / name))
+    found = collected(entry.q_read_documents_index(spark, str(tmp_path)), "idx", "doc_id", "length")
+    assert found == [(k, i, 50 + i) for k, i in enumerate(i for i in range(300) if i % 3)]
+    assert len(list((tmp_path / "json-documents").glob("part-*"))) == 10
