@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,12 +14,27 @@ from semprune.functions.text import character_chunks, token_chunks, whitespace_t
 from semprune.operators.prune import uid_column
 
 
+# Characters of the texts a tokenizer gets at once; their tokens are Python objects.
+TEXT_BATCH = 1 << 20
+
+
+def runs_within(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Runs of rows whose sizes add up to at most ``most``; a larger row is a run of its own."""
+    start, total = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if total + size > most and i > start:
+            yield slice(start, i)
+            start, total = i, 0
+        total += size
+    yield slice(start, len(sizes))
+
+
 @dataclass(frozen=True)
 class Tokenizer:
     """A tokenizer plug-in.
 
-    ``load`` builds, once per task, a function from a list of texts to their token lists;
-    without it texts are cut at white space by Spark itself. ``start`` and ``end`` are the
+    ``load`` builds, once per task, a function from a list of texts to their token lists, which
+    gets at most ``TEXT_BATCH`` characters at once, or one text; without it texts are cut at white space by Spark itself. ``start`` and ``end`` are the
     special tokens every chunk carries and that count towards the chunk size.
     """
 
@@ -35,7 +51,8 @@ class Tokenizer:
         def tokenize(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             model = load()
             for texts in batches:
-                yield pd.Series(model(texts.tolist()))
+                for run in runs_within(texts.str.len().to_numpy(), TEXT_BATCH):
+                    yield pd.Series(model(texts.iloc[run].tolist()))
 
         return tokenize(text)
 

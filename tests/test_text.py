@@ -65,6 +65,20 @@ def test_plugin_tokenizer_and_uid(spark):
     assert {r.uid for r in rows} == {"d0"}
 
 
+def test_plugin_tokenizer_gets_few_characters_at_once(spark):
+    told = chunk.Tokenizer(load=lambda: lambda texts: [[t[0], str(sum(map(len, texts)))] for t in texts])
+    docs = docs_of(spark, *[c * 400_000 for c in "abcdefg"], "h" * (chunk.TEXT_BATCH + 1), "i").coalesce(1)
+    rows = {r.idx: r.tokens for r in chunk.chunk_documents(docs, 2, tokenizer=told).collect()}
+    assert [rows[i][0] for i in range(9)] == list("abcdefghi")
+    assert rows[7][1] == str(chunk.TEXT_BATCH + 1)
+    assert all(int(rows[i][1]) <= chunk.TEXT_BATCH for i in range(9) if i != 7)
+
+
+@pytest.mark.parametrize("sizes,runs", [([], [(0, 0)]), ([5, 1, 1, 9, 0, 3], [(0, 1), (1, 3), (3, 4), (4, 6)]), ([2, 2, 2], [(0, 2), (2, 3)]), ([0, 0], [(0, 2)])])
+def test_runs_within(sizes, runs):
+    assert [(r.start, r.stop) for r in chunk.runs_within(np.array(sizes, np.int64), 4)] == runs
+
+
 def test_character_chunks(spark):
     docs = docs_of(spark, "abc\ndefg", "", "é😀x")
     pieces = chunk.chunk_characters(docs, 2)
