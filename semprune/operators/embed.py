@@ -20,7 +20,7 @@ from semprune.operators.chunk import WHITESPACE, Tokenizer, chunk_documents
 # Chunks given to the model at once.
 MODEL_BATCH = 640
 # Tokens whose bucket a task remembers before it starts anew.
-KNOWN_TOKENS = 1 << 20
+KNOWN_TOKENS = 1 << 16
 
 
 def masked_mean(states: np.ndarray, mask: np.ndarray) -> np.ndarray:

@@ -79,6 +79,17 @@ def test_runs_within(sizes, runs):
     assert [(r.start, r.stop) for r in chunk.runs_within(np.array(sizes, np.int64), 4)] == runs
 
 
+def test_remembered_words_are_bounded():
+    model = embed.HashedWords(16)
+    model.load()
+    words = [pa.array([[f"w{k}-{i}" for i in range(50_000)]]) for k in range(6)]
+    first = model.embed(words[0])
+    for w in words[1:]:
+        model.embed(w)
+        assert len(model._known) <= 1 << 17
+    assert (model.embed(words[0]) == first).all()
+
+
 def test_character_chunks(spark):
     docs = docs_of(spark, "abc\ndefg", "", "é😀x")
     pieces = chunk.chunk_characters(docs, 2)
