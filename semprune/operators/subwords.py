@@ -20,11 +20,13 @@ from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from semprune.operators.chunk import Tokenizer
+from semprune.operators.chunk import Tokenizer, runs_within
 
 VOCABULARY_BYTES = 64 << 20
 #: Strings between white space whose pieces a task remembers before it starts anew.
-KNOWN_STRINGS = 1 << 20
+KNOWN_STRINGS = 1 << 18
+#: Strings of the rows that are taken apart at once, a longer row by itself.
+STRING_BATCH = 1 << 18
 #: Longer words are unknown.
 LONGEST_WORD = 100
 CONTINUED = "##"
@@ -170,7 +172,8 @@ class WordPieces(Tokenizer):
         def pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             find, known = finder(), {}
             for strings in batches:
-                yield _piece_lists(strings, known, find)
+                for run in runs_within(np.diff(strings.offsets.to_numpy()), STRING_BATCH):
+                    yield _piece_lists(strings[run], known, find)
 
         return pieces(F.filter(F.split(text, "[ \t\n\r]+"), lambda s: s != ""))
 

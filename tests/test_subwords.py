@@ -1,11 +1,13 @@
 """Subword pieces against the public library, and means of token states against each token by itself."""
 
 import random
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from helpers import SF
+from pyspark.sql import functions as F
 
 from semprune.operators import chunk, embed, subwords, token_states
 from semprune.operators.subwords import Pieces, words_of
@@ -53,6 +55,19 @@ def subwords_between_spaces(text):
     return [s for s in re.split("[ \t\n\r]+", text) if s]
 
 
+def test_few_strings_are_taken_apart_at_once(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(subwords.F, "arrow_udf", lambda _: lambda f: made.append(f) or (lambda column: column))
+    subwords.WordPieces(vocabulary=SimpleNamespace(value=["a", "##b"])).tokens(F.lit(""))
+    rows = [["ab", "a"] * 5_000 for _ in range(60)] + [["a"] * 300_000, [], ["abb"]]
+    found = list(made[0](iter([pa.array(rows, pa.list_(pa.string()))])))
+    assert len(found) > 4
+    for x, end in zip(found, np.cumsum([len(x) for x in found]), strict=True):
+        taken = rows[end - len(x) : end]
+        assert len(taken) == 1 or sum(map(len, taken)) <= subwords.STRING_BATCH
+    assert [y for x in found for y in x.to_pylist()] == [["a", "##b", "a"] * 5_000] * 60 + [["a"] * 300_000, [], ["a", "##b", "##b"]]
+
+
 def test_chunks_of_documents_equal_the_public_library(spark, library, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     docs = docs.unionByName(spark.createDataFrame([(10_000 + i, t) for i, t in enumerate([*ODD, None])], docs.schema))
